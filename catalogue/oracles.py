@@ -236,6 +236,10 @@ SELECT trend_key, grain_start, CASE WHEN metric = 'duration' THEN (v >> b) << b
     + " SELECT trend_key, interval_name AS interval, win + seconds AS ts_sec, points, count FROM counts",
     "strict_duration": _with(EVENT_SPANS, E_ALL, _fan(), FLOOR, _hist("judged", "accepted AND closed")) + HIST_OUT,
     "strict_dense": _with(LINE_SPANS, L_ALL, _fan(), FLOOR, _hist("judged", "accepted")) + HIST_OUT,
+    "strict_points": _with(
+        LINE_SPANS, _points("lspans", ("op",)), _fan((60, 300)), FLOOR, _hist("judged", "accepted AND closed")
+    )
+    + HIST_OUT,
     "strict_long": _with(
         EVENT_SPANS,
         E_ALL,

@@ -18,6 +18,7 @@ from trendloom.operators.cells import (
     point_cells,
     roll_up,
     span_cells,
+    tally_points,
 )
 from trendloom.operators.filters import is_valid_point, valid_spans
 from trendloom.operators.lateness import accepted_cells, late_counts
@@ -26,7 +27,7 @@ from trendloom.operators.quality import active_trends, quality_summary, time_in_
 from trendloom.operators.rules import classify
 from trendloom.operators.stats import window_stats
 from trendloom.options import HistogramOptions, TrendOptions
-from trendloom.plans.trends import point_trends, span_trends, strict_span_trends
+from trendloom.plans.trends import point_trends, span_trends, strict_span_trends, tally_of_spans
 from trendloom.sources.readers import read_points
 from trendloom.sources.sinks import Sink, to_messages, write_fanout, write_points
 from trendloom.sources.tables import spans_from_events, spans_from_lineitem
@@ -237,30 +238,35 @@ def q_point_trends(spark, sf_dir):
 # Lateness
 
 
-def _strict_events(metric: str) -> Callable[[SparkSession, str, TrendOptions], DataFrame]:
-    def run(spark, sf_dir, opts):
-        points = to_points(valid_spans(event_spans(spark, sf_dir)), opts)
-        wanted = F.col("metric") == metric if metric == "duration" else F.col("metric") != "duration"
-        return accepted_cells(points.where(wanted), opts)
-
-    return run
+def _of_kind(cells: DataFrame, agg_type: str) -> DataFrame:
+    return cells.where(F.col("agg_type") == agg_type)
 
 
 def q_strict_counts(spark, sf_dir):
     opts = TrendOptions(emit="closed")
-    return _named(window_stats(_strict_events("status")(spark, sf_dir, opts), opts), "points", "count")
+    cells = accepted_cells(tally_of_spans(event_spans(spark, sf_dir), opts), opts)
+    return _named(window_stats(_of_kind(cells, S.AGG_COUNT), opts), "points", "count")
 
 
 def q_strict_duration(spark, sf_dir):
     opts = TrendOptions(emit="closed")
-    return _named(window_stats(_strict_events("duration")(spark, sf_dir, opts), opts), "points", *HISTOGRAM_COLUMNS)
+    cells = accepted_cells(tally_of_spans(event_spans(spark, sf_dir), opts), opts)
+    return _named(window_stats(_of_kind(cells, S.AGG_HISTOGRAM), opts), "points", *HISTOGRAM_COLUMNS)
 
 
 def q_strict_dense(spark, sf_dir):
     """Strict mode over dense spans, where slices of arrival are cut by closing windows."""
     opts = TrendOptions(emit="all", arrival_block=LINE_BLOCK)
+    cells = accepted_cells(tally_of_spans(line_spans(spark, sf_dir), opts), opts)
+    return _named(window_stats(_of_kind(cells, S.AGG_HISTOGRAM), opts), "points", *HISTOGRAM_COLUMNS)
+
+
+def q_strict_points(spark, sf_dir):
+    """Strict mode over points instead of spans, as when they are read back from a bus."""
+    opts = TrendOptions(emit="closed", intervals=S.INTERVALS[:2], arrival_block=LINE_BLOCK, service_level=False)
     points = to_points(valid_spans(line_spans(spark, sf_dir)), opts).where(F.col("metric") == "duration")
-    return _named(window_stats(accepted_cells(points, opts), opts), "points", *HISTOGRAM_COLUMNS)
+    cells = accepted_cells(tally_points(points, opts), opts)
+    return _named(window_stats(cells, opts), "points", *HISTOGRAM_COLUMNS)
 
 
 def q_strict_long(spark, sf_dir):
@@ -270,16 +276,15 @@ def q_strict_long(spark, sf_dir):
 
 def q_late_points(spark, sf_dir):
     opts = TrendOptions(arrival_block=LINE_BLOCK)
-    points = to_points(valid_spans(line_spans(spark, sf_dir)), opts)
-    counted = late_counts(points, opts)
+    counted = late_counts(tally_of_spans(line_spans(spark, sf_dir), opts), opts)
     return counted.withColumn("interval", interval_name(F.col("seconds"), S.INTERVALS)).drop("seconds")
 
 
 def q_closed_vs_all(spark, sf_dir):
     """Windows with accepted points, and how many of them are closed, per interval."""
     opts = TrendOptions(emit="all", service_level=False)
-    points = to_points(valid_spans(event_spans(spark, sf_dir)), opts).where(F.col("metric") == "duration")
-    windows = accepted_cells(points, opts).select("trend_key", "seconds", "win_start", "closed").distinct()
+    cells = accepted_cells(tally_of_spans(event_spans(spark, sf_dir), opts), opts)
+    windows = _of_kind(cells, S.AGG_HISTOGRAM).select("trend_key", "seconds", "win_start", "closed").distinct()
     counted = windows.groupBy("seconds").agg(
         F.count(F.lit(1)).alias("windows"), F.count_if("closed").alias("closed_windows")
     )
@@ -427,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "strict_counts": q_strict_counts,
     "strict_duration": q_strict_duration,
     "strict_dense": q_strict_dense,
+    "strict_points": q_strict_points,
     "strict_long": q_strict_long,
     "late_points": q_late_points,
     "closed_vs_all": q_closed_vs_all,

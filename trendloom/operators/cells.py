@@ -8,7 +8,8 @@ as many reducers as it has buckets, and bounds what is left of it by the resolut
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,96 +49,119 @@ def interval_name(seconds: Column, intervals: Sequence[Interval]) -> Column:
     return named
 
 
+@dataclass(frozen=True)
+class Tally:
+    """Rows to count, how to group them, and which trends a group belongs to.
+
+    ``rows`` hold the columns of ``part``, a whole ``amount`` and, where lateness matters, ``arrival``.
+    ``spread`` turns a group into one row per trend it feeds: it adds the trend key, the aggregation, the
+    value bucket, and ``by_count``, which says that the trend sums the rows and not their amounts.
+    """
+
+    rows: DataFrame
+    part: tuple[str, ...]
+    spread: Callable[[DataFrame], DataFrame]
+
+    def with_slices(self, width: int) -> Tally:
+        """The same with ``slice``, a stretch of arrival of the given width, as part of the grouping."""
+        cut = F.call_function("div", F.col("arrival"), F.lit(width).cast("bigint"))
+        return Tally(self.rows.withColumn("slice", cut), (*self.part, "slice"), self.spread)
+
+
+def trend_total() -> Column:
+    """What a spread group adds to its trend."""
+    return F.when(F.col("by_count"), F.col("n")).otherwise(F.col("total"))
+
+
 def prepared_points(points: DataFrame, opts: TrendOptions) -> DataFrame:
     """Valid, classified points with ``amount`` (whole value), ``bucket`` and ``grain_start``."""
-    typed = classify(valid_points(points), opts.rules).where(F.col("agg_type").isNotNull())
-    amount = H.to_long(F.col("value"))
+    kept = valid_points(points)
+    typed = (kept if "agg_type" in points.columns else classify(kept, opts.rules)).where(F.col("agg_type").isNotNull())
     bucket = F
     for aggregate in opts.aggregates:
         if aggregate.bucket is not None:
             bucket = bucket.when(F.col("agg_type") == aggregate.name, aggregate.bucket(F.col("amount"), opts.histogram))
     none = F.lit(S.NO_BUCKET).cast("bigint")
     return (
-        typed.withColumn("amount", amount)
+        typed.withColumn("amount", H.to_long(F.col("value")))
         .withColumn("bucket", none if bucket is F else bucket.otherwise(none))
         .withColumn("grain_start", window_start(F.col("ts_sec"), opts.grain))
     )
 
 
-def point_cells(points: DataFrame, opts: TrendOptions) -> DataFrame:
-    """Cells of the grain, from any points."""
-    return (
-        prepared_points(points, opts)
-        .groupBy(*SERIES, "grain_start", "bucket")
-        .agg(F.count(F.lit(1)).alias("n"), F.try_sum("amount").alias("total"))
-    )
+def tally_points(points: DataFrame, opts: TrendOptions) -> Tally:
+    """Any points; each belongs to the one trend of its key."""
+    rows = prepared_points(points, opts)
+    return Tally(rows, (*SERIES, "grain_start", "bucket"), lambda groups: groups.withColumn("by_count", F.lit(False)))
 
 
-def span_cells(spans: DataFrame, opts: TrendOptions) -> DataFrame:
-    """Cells of the grain for the two standard transformers, straight from valid spans.
+def tally_spans(spans: DataFrame, opts: TrendOptions) -> Tally:
+    """Valid spans under the two standard transformers.
 
-    The spans are grouped once, as (service, operation, minute, error, duration bucket). All points of
-    a span are functions of that row, so the duration and status trends of both levels are read off
-    the grouped rows instead of being counted point by point.
+    The points of a span follow from its names, error flag and duration, so spans are grouped by those,
+    one row each, and the duration and status trends of both levels are read off the groups.
     """
     if tuple(opts.transformers) != DEFAULT_TRANSFORMERS:
-        raise ValueError("span_cells knows the standard transformers only, use point_cells")
+        raise ValueError("tally_spans knows the standard transformers only, use tally_points")
+    histogram = next(a for a in opts.aggregates if a.name == S.AGG_HISTOGRAM)
     duration = F.col("duration_us")
-    standard = {a.name: a for a in opts.aggregates}
-    grouped = (
-        spans.select(
-            "service_name",
-            "operation_name",
-            is_error().alias("error"),
-            window_start(point_seconds(), opts.grain).alias("grain_start"),
-            F.when(duration > 0, standard[S.AGG_HISTOGRAM].bucket(duration, opts.histogram)).alias("low"),
-            F.when(duration > 0, duration).alias("duration_us"),
-        )
-        .groupBy("service_name", "operation_name", "error", "grain_start", "low")
-        .agg(F.count(F.lit(1)).alias("n"), F.try_sum("duration_us").alias("duration_us"))
+    none = F.lit(S.NO_BUCKET).cast("bigint")
+    rows = spans.select(
+        "service_name",
+        "operation_name",
+        is_error().alias("error"),
+        window_start(point_seconds(), opts.grain).alias("grain_start"),
+        F.when(duration > 0, histogram.bucket(duration, opts.histogram)).otherwise(none).alias("low"),
+        F.when(duration > 0, duration).otherwise(F.lit(0).cast("bigint")).alias("amount"),
+        *[F.col(c) for c in ("arrival",) if c in spans.columns],
     )
-    series = grouped.select(
-        encode_name(F.col("service_name"), opts.encoder).alias("svc"),
-        encode_name(F.col("operation_name"), opts.encoder).alias("opn"),
-        "error",
-        "grain_start",
-        "low",
-        "n",
-        "duration_us",
-        F.explode(F.array(*[F.lit(i) for i in range(4 if opts.service_level else 2)])).alias("variant"),
+    part = ("service_name", "operation_name", "error", "grain_start", "low")
+    return Tally(rows, part, lambda groups: _spread_spans(groups, opts))
+
+
+def _spread_spans(groups: DataFrame, opts: TrendOptions) -> DataFrame:
+    """Trends of grouped spans: duration and status, with the operation and for the service alone."""
+    service, operation = encode_name(F.col("service_name"), opts.encoder), encode_name(
+        F.col("operation_name"), opts.encoder
     )
-    is_duration = F.col("variant").isin(0, 2)
-    metric = (
-        F.when(is_duration, F.lit(S.METRIC_DURATION))
-        .when(F.col("error"), F.lit(S.METRIC_FAILURE))
-        .otherwise(F.lit(S.METRIC_SUCCESS))
+    variants = [(True, operation), (False, operation), (True, None), (False, None)]
+    variants = variants[: 4 if opts.service_level else 2]
+    status = F.when(F.col("error"), F.lit(S.METRIC_FAILURE)).otherwise(F.lit(S.METRIC_SUCCESS))
+    is_duration = F.col("variant").isin([i for i, v in enumerate(variants) if v[0]])
+    rows = groups.withColumn("variant", F.explode(F.array(*[F.lit(i) for i in range(len(variants))])))
+    rows = rows.where(~is_duration | (F.col("low") >= 0))
+    key, agg_type = F, F
+    for i, (of_duration, op) in enumerate(variants):
+        metric = F.lit(S.METRIC_DURATION) if of_duration else status
+        unit = S.UNIT_MICROSECONDS if of_duration else S.UNIT_SHORT
+        chosen = F.col("variant") == i
+        key = key.when(chosen, known_tags_key(metric, point_tags(opts, unit, S.MTYPE_GAUGE, service, op, {})))
+        agg_type = agg_type.when(chosen, agg_type_of(metric, F.lit(S.MTYPE_GAUGE), opts.rules))
+    bucketed = F.when(is_duration, F.col("low")).otherwise(F.lit(S.NO_BUCKET).cast("bigint"))
+    named = rows.withColumns(
+        {"trend_key": key, "agg_type": agg_type, "bucket": bucketed, "by_count": ~is_duration}
     )
-    key = F
-    for variant, (unit, operation) in enumerate(
-        [
-            (S.UNIT_MICROSECONDS, F.col("opn")),
-            (S.UNIT_SHORT, F.col("opn")),
-            (S.UNIT_MICROSECONDS, None),
-            (S.UNIT_SHORT, None),
-        ]
-    ):
-        tags = point_tags(opts, unit, S.MTYPE_GAUGE, F.col("svc"), operation, {})
-        key = key.when(F.col("variant") == variant, known_tags_key(F.col("metric"), tags))
-    return (
-        series.where(~is_duration | F.col("low").isNotNull())
-        .withColumn("metric", metric)
-        .select(
-            key.alias("trend_key"),
-            agg_type_of(F.col("metric"), F.lit(S.MTYPE_GAUGE), opts.rules).alias("agg_type"),
-            "grain_start",
-            F.when(is_duration, F.col("low")).otherwise(F.lit(S.NO_BUCKET).cast("bigint")).alias("bucket"),
-            "n",
-            F.when(is_duration, F.col("duration_us")).otherwise(F.col("n")).alias("total"),
-        )
-        .where(F.col("agg_type").isNotNull())
+    return named.where(F.col("agg_type").isNotNull()).drop("variant")
+
+
+def grain_cells(tally: Tally) -> DataFrame:
+    """Cells of the grain. A trend can have several cells for one bucket; they add up like any others."""
+    groups = tally.rows.groupBy(*tally.part).agg(
+        F.count(F.lit(1)).alias("n"), F.try_sum("amount").alias("total")
+    )
+    return tally.spread(groups).select(
+        *SERIES, "grain_start", "bucket", "n", trend_total().alias("total")
     )
 
 
+def point_cells(points: DataFrame, opts: TrendOptions) -> DataFrame:
+    return grain_cells(tally_points(points, opts))
+
+
+def span_cells(spans: DataFrame, opts: TrendOptions) -> DataFrame:
+    return grain_cells(tally_spans(spans, opts))
+
+
 def roll_up(cells: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
     """Cells of the grain to cells of every interval, as in CELL_SCHEMA."""
     return (

@@ -20,21 +20,24 @@ oldest window first.
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendloom.operators.cells import SERIES, assign_windows, prepared_points
+from trendloom.operators.cells import SERIES, Tally, assign_windows, trend_total
 from trendloom.options import TrendOptions
 
 BEFORE_ALL = -(2**63)
 WINDOW = ("trend_key", "seconds", "win_start")
+CELL = (*SERIES, "seconds", "win_start", "bucket")
 
 
-def first_arrivals(prepared: DataFrame, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
+def first_arrivals(tally: Tally, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
     """First arrival per trend, interval and window; windows carried over count as there from the start."""
-    by_grain = prepared.groupBy("trend_key", "grain_start").agg(F.min("arrival").alias("first"))
+    groups = tally.rows.groupBy(*tally.part).agg(F.min("arrival").alias("first"))
+    by_grain = tally.spread(groups).groupBy("trend_key", "grain_start").agg(F.min("first").alias("first"))
     firsts = assign_windows(by_grain, opts.intervals, "grain_start").select(*WINDOW, "first")
     if carried is not None:
         firsts = firsts.unionByName(carried.select(*WINDOW, F.lit(BEFORE_ALL).alias("first")))
@@ -70,63 +73,64 @@ def _within(arrival: Column) -> Column:
     return F.col("opens") & (F.col("closes").isNull() | (arrival <= F.col("closes")))
 
 
-def judged_cells(points: DataFrame, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
+def judged_cells(tally: Tally, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
     """Cells of every interval with ``accepted`` and ``closed``, in the columns of CELL_SCHEMA.
 
-    ``points`` need an ``arrival`` column, a whole number that orders the points of a trend; a null
+    The rows of ``tally`` need ``arrival``, a whole number that orders the points of a trend; a null
     counts as having arrived first. ``carried`` holds the accepted cells of windows left open by earlier
     points, see the streaming use.
     """
     arrival = F.coalesce(F.col("arrival"), F.lit(BEFORE_ALL + 1))
-    prepared = prepared_points(points, opts).withColumn("arrival", arrival)
-    bars = gates(first_arrivals(prepared, opts, carried), opts)
-    width = F.lit(opts.arrival_block).cast("bigint")
-    sliced = prepared.withColumn("slice", F.call_function("div", F.col("arrival"), width))
-    part = (*SERIES, "grain_start", "slice", "bucket")
-    slices = sliced.groupBy(*part).agg(
+    tally = replace(tally, rows=tally.rows.withColumn("arrival", arrival))
+    bars = gates(first_arrivals(tally, opts, carried), opts)
+    sliced = tally.with_slices(opts.arrival_block)
+    groups = sliced.rows.groupBy(*sliced.part).agg(
         F.count(F.lit(1)).alias("n"),
         F.try_sum("amount").alias("total"),
         F.min("arrival").alias("earliest"),
         F.max("arrival").alias("latest"),
     )
-    graded = assign_windows(slices, opts.intervals, "grain_start").join(bars, list(WINDOW))
+    graded = assign_windows(tally.spread(groups), opts.intervals, "grain_start").join(bars, list(WINDOW))
     whole = _within(F.col("latest")) | ~_within(F.col("earliest"))
     taken = graded.where(whole).select(
-        *SERIES, "seconds", "win_start", "bucket", "n", "total", _within(F.col("latest")).alias("accepted"), "closes"
+        *CELL, "n", trend_total().alias("total"), _within(F.col("latest")).alias("accepted"), "closes"
     )
-    cut = graded.where(~whole).select(*part, "seconds", "win_start", "opens", "closes")
-    single = sliced.join(cut, list(part)).select(
-        *SERIES,
-        "seconds",
-        "win_start",
-        "bucket",
-        F.lit(1).cast("bigint").alias("n"),
+    # Columns of the grouping that are columns of the cell too are named apart before the rows come back.
+    parts = {c: f"part_{c}" for c in sliced.part}
+    cut = graded.where(~whole).select(
+        *CELL, "by_count", "opens", "closes", *[F.col(c).alias(name) for c, name in parts.items()]
+    )
+    looked_up = sliced.rows.select(
         F.col("amount").alias("total"),
-        _within(F.col("arrival")).alias("accepted"),
-        "closes",
+        F.lit(1).cast("bigint").alias("n"),
+        "arrival",
+        *[F.col(c).alias(name) for c, name in parts.items()],
+    )
+    single = looked_up.join(cut, list(parts.values())).select(
+        *CELL, "n", trend_total().alias("total"), _within(F.col("arrival")).alias("accepted"), "closes"
     )
-    parts = [taken, single]
+    found = [taken, single]
     if carried is not None:
-        kept = carried.select(*SERIES, "seconds", "win_start", "bucket", "n", "total", F.lit(True).alias("accepted"))
-        parts.append(kept.join(bars.select(*WINDOW, "closes"), list(WINDOW)).select(*taken.columns))
+        kept = carried.select(*CELL, "n", "total", F.lit(True).alias("accepted"))
+        found.append(kept.join(bars.select(*WINDOW, "closes"), list(WINDOW)).select(*taken.columns))
     return (
-        reduce(DataFrame.unionByName, parts)
+        reduce(DataFrame.unionByName, found)
         .withColumn("closed", F.col("closes").isNotNull())
-        .groupBy(*SERIES, "seconds", "win_start", "bucket", "accepted", "closed")
+        .groupBy(*CELL, "accepted", "closed")
         .agg(F.sum("n").alias("n"), F.try_sum("total").alias("total"))
     )
 
 
-def accepted_cells(points: DataFrame, opts: TrendOptions) -> DataFrame:
+def accepted_cells(tally: Tally, opts: TrendOptions) -> DataFrame:
     """Cells of the accepted points, all of them or only those of closed windows (``opts.emit``)."""
-    cells = judged_cells(points, opts).where("accepted")
+    cells = judged_cells(tally, opts).where("accepted")
     return cells.where("closed") if opts.emit == "closed" else cells
 
 
-def late_counts(points: DataFrame, opts: TrendOptions) -> DataFrame:
+def late_counts(tally: Tally, opts: TrendOptions) -> DataFrame:
     """Points, accepted points and late points per trend and interval."""
     return (
-        judged_cells(points, opts)
+        judged_cells(tally, opts)
         .groupBy("trend_key", "seconds")
         .agg(
             F.sum("n").alias("points"),

@@ -16,6 +16,7 @@ from trendloom import schema as S
 from trendloom.functions.encoding import encode_name
 from trendloom.functions.keys import known_tags_key
 from trendloom.functions.spans import is_error, point_seconds
+from trendloom.operators.rules import agg_type_of
 from trendloom.options import TrendOptions
 
 
@@ -72,37 +73,39 @@ def _pick(choices: Sequence[Column]) -> Column:
     return choices[-1] if picked is F else picked.otherwise(choices[-1])
 
 
-def to_points(spans: DataFrame, opts: TrendOptions | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """All points of the given (already valid) spans, in the columns of POINT_SCHEMA.
-
-    Each transformer makes one point per span and, with ``service_level``, a second one without the
-    operation tag. Columns named in ``keep``, and ``arrival`` when the spans have it, are passed through.
-    What depends on the span alone is computed once, before the rows are multiplied.
-    """
+def typed_points(spans: DataFrame, opts: TrendOptions | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Points with ``agg_type``, the rule of their metric, decided before the rows are multiplied."""
     opts = opts or TrendOptions()
     carried = list(keep) + [c for c in ("arrival",) if c in spans.columns and c not in keep]
     specs = [make() for make in opts.transformers]
     levels = (True, False) if opts.service_level else (True,)
+    service = encode_name(F.coalesce(F.col("service_name"), F.lit("")), opts.encoder)
+    operation = encode_name(F.coalesce(F.col("operation_name"), F.lit("")), opts.encoder)
     base = [
-        encode_name(F.col("service_name"), opts.encoder).alias("svc"),
-        encode_name(F.col("operation_name"), opts.encoder).alias("opn"),
+        service.alias("svc"),
+        operation.alias("opn"),
         point_seconds().alias("ts_sec"),
         *[F.col(c) for c in carried],
     ]
     for i, spec in enumerate(specs):
-        base += [spec.metric.alias(f"metric_{i}"), spec.value.cast("double").alias(f"value_{i}")]
+        agg_type = agg_type_of(spec.metric, F.lit(spec.mtype), opts.rules)
+        base += [
+            spec.metric.alias(f"metric_{i}"),
+            spec.value.cast("double").alias(f"value_{i}"),
+            agg_type.alias(f"agg_type_{i}"),
+        ]
         base += [tag.alias(f"tag_{i}_{j}") for j, tag in enumerate(spec.tags.values())]
         if spec.when is not None:
             base.append(F.coalesce(spec.when, F.lit(False)).alias(f"when_{i}"))
 
-    metrics, values, keys, tags, wanted = [], [], [], [], []
+    metrics, values, types, keys, tags, wanted = [], [], [], [], [], []
     for i, spec in enumerate(specs):
         own = {name: F.col(f"tag_{i}_{j}") for j, name in enumerate(spec.tags)}
         for with_operation in levels:
-            operation = F.col("opn") if with_operation else None
-            named = point_tags(opts, spec.unit, spec.mtype, F.col("svc"), operation, own)
+            named = point_tags(opts, spec.unit, spec.mtype, F.col("svc"), F.col("opn") if with_operation else None, own)
             metrics.append(F.col(f"metric_{i}"))
             values.append(F.col(f"value_{i}"))
+            types.append(F.col(f"agg_type_{i}"))
             keys.append(known_tags_key(F.col(f"metric_{i}"), named))
             tags.append(_tag_map(named))
             wanted.append(F.lit(True) if spec.when is None else F.col(f"when_{i}"))
@@ -117,4 +120,15 @@ def to_points(spans: DataFrame, opts: TrendOptions | None = None, keep: Sequence
         "ts_sec",
         _pick(keys).alias("trend_key"),
         *carried,
+        _pick(types).alias("agg_type"),
     )
+
+
+def to_points(spans: DataFrame, opts: TrendOptions | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """All points of the given (already valid) spans, in the columns of POINT_SCHEMA.
+
+    Each transformer makes one point per span and, with ``service_level``, a second one without the
+    operation tag. Columns named in ``keep``, and ``arrival`` when the spans have it, are passed through.
+    What depends on the span alone is computed once, before the rows are multiplied.
+    """
+    return typed_points(spans, opts, keep).drop("agg_type")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from trendloom.operators.cells import point_cells, roll_up, span_cells
+from trendloom.operators.cells import Tally, grain_cells, point_cells, roll_up, tally_points, tally_spans
 from trendloom.operators.enrich import add_tags
 from trendloom.operators.filters import valid_spans
 from trendloom.operators.lateness import accepted_cells
-from trendloom.operators.points import DEFAULT_TRANSFORMERS, to_points
+from trendloom.operators.points import DEFAULT_TRANSFORMERS, typed_points
 from trendloom.operators.rules import with_trend_key
 from trendloom.operators.stats import stat_rows, window_stats
 from trendloom.options import TrendOptions
@@ -25,23 +25,27 @@ def point_trends(points: DataFrame, opts: TrendOptions | None = None) -> DataFra
     return trends_from_cells(roll_up(point_cells(with_trend_key(points), opts), opts.intervals), opts)
 
 
+def tally_of_spans(spans: DataFrame, opts: TrendOptions) -> Tally:
+    """Valid spans, ready to count; other transformers than the standard ones go by way of their points."""
+    kept = valid_spans(spans, opts.deny)
+    if tuple(opts.transformers) == DEFAULT_TRANSFORMERS:
+        return tally_spans(kept, opts)
+    return tally_points(typed_points(kept, opts), opts)
+
+
 def span_trends(spans: DataFrame, opts: TrendOptions | None = None) -> DataFrame:
     """Trends of every valid span, whatever its delay."""
     opts = opts or TrendOptions()
-    kept = valid_spans(spans, opts.deny)
-    if tuple(opts.transformers) == DEFAULT_TRANSFORMERS:
-        cells = span_cells(kept, opts)
-    else:
-        cells = point_cells(to_points(kept, opts), opts)
-    return trends_from_cells(roll_up(cells, opts.intervals), opts)
+    return trends_from_cells(roll_up(grain_cells(tally_of_spans(spans, opts)), opts.intervals), opts)
 
 
 def strict_point_trends(points: DataFrame, opts: TrendOptions | None = None) -> DataFrame:
     """Trends of the points the strict lateness rule accepts; ``points`` need ``arrival``."""
     opts = opts or TrendOptions(emit="closed")
-    return trends_from_cells(accepted_cells(with_trend_key(points), opts), opts)
+    return trends_from_cells(accepted_cells(tally_points(with_trend_key(points), opts), opts), opts)
 
 
 def strict_span_trends(spans: DataFrame, opts: TrendOptions | None = None) -> DataFrame:
+    """Trends of the spans the strict lateness rule accepts; ``spans`` need ``arrival``."""
     opts = opts or TrendOptions(emit="closed")
-    return strict_point_trends(to_points(valid_spans(spans, opts.deny), opts), opts)
+    return trends_from_cells(accepted_cells(tally_of_spans(spans, opts), opts), opts)
