@@ -22,7 +22,7 @@ from trendloom.operators.cells import (
 )
 from trendloom.operators.filters import is_valid_point, valid_spans
 from trendloom.operators.lateness import accepted_cells, late_counts
-from trendloom.operators.points import to_points
+from trendloom.operators.points import to_points, typed_points
 from trendloom.operators.quality import active_trends, quality_summary, time_in_topic
 from trendloom.operators.rules import classify
 from trendloom.operators.stats import window_stats
@@ -209,7 +209,7 @@ def _duration_stats(opts: TrendOptions) -> Query:
 
 def q_point_cells(spark, sf_dir):
     """Cells of the one-minute grain, counted from the points themselves."""
-    points = to_points(valid_spans(line_spans(spark, sf_dir)))
+    points = typed_points(valid_spans(line_spans(spark, sf_dir)))
     return point_cells(points, TrendOptions()).select("trend_key", "grain_start", "bucket", "n", "total")
 
 
@@ -264,7 +264,7 @@ def q_strict_dense(spark, sf_dir):
 def q_strict_points(spark, sf_dir):
     """Strict mode over points instead of spans, as when they are read back from a bus."""
     opts = TrendOptions(emit="closed", intervals=S.INTERVALS[:2], arrival_block=LINE_BLOCK, service_level=False)
-    points = to_points(valid_spans(line_spans(spark, sf_dir)), opts).where(F.col("metric") == "duration")
+    points = typed_points(valid_spans(line_spans(spark, sf_dir)), opts).where(F.col("metric") == "duration")
     cells = accepted_cells(tally_points(points, opts), opts)
     return _named(window_stats(cells, opts), "points", *HISTOGRAM_COLUMNS)
 
@@ -303,7 +303,7 @@ def q_time_in_topic(spark, sf_dir):
 
 
 def q_active_trends(spark, sf_dir):
-    return active_trends(_event_points(spark, sf_dir))
+    return active_trends(typed_points(valid_spans(event_spans(spark, sf_dir))))
 
 
 # Sinks
@@ -357,7 +357,7 @@ def _stream_points(spark: SparkSession, sf_dir: str, opts: TrendOptions) -> Data
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     # A pattern, because a file stream takes a folder or a pattern but not one file.
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
-    return to_points(valid_spans(spans_from_events(stream)), opts)
+    return typed_points(valid_spans(spans_from_events(stream)), opts)
 
 
 def q_stream_counts(spark, sf_dir):

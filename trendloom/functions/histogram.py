@@ -37,28 +37,27 @@ def recorded(value_us: Column, opts: HistogramOptions) -> Column:
     return F.call_function("div", held, F.lit(opts.unit_us).cast("bigint"))
 
 
-def _by_power(value: Column, opts: HistogramOptions, pick) -> Column:
-    m = exact_bits(opts.precision)
-    top = max(0, opts.max_value.bit_length() - m)
-    picked = F
-    for b in range(top):
-        picked = picked.when(value < F.lit(2 ** (m + b)).cast("bigint"), pick(value, b))
-    last = pick(value, top)
-    return last if picked is F else picked.otherwise(last)
+def _shift(value: Column, opts: HistogramOptions) -> Column:
+    """Power of two of the width of a value's bucket.
+
+    The logarithm of value + 1/2 stays clear of whole numbers, by more than a double can be wrong, for
+    every value below 2^31; options allow no larger ones. It is one short expression on purpose: it is
+    copied into filters and groupings, and the JVM does not compile methods that grow too long.
+    """
+    top_bit = F.floor(F.log2(value + F.lit(0.5))).cast("int")
+    return F.greatest(top_bit - F.lit(exact_bits(opts.precision) - 1), F.lit(0))
 
 
 def bucket_low(value: Column, opts: HistogramOptions) -> Column:
     """Lowest value of the bucket a recorded value falls in."""
-    return _by_power(
-        value, opts, lambda v, b: v if b == 0 else v.bitwiseAND(F.lit(-(2**b)).cast("bigint"))
-    )
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), _shift(value, opts))
+    return value.bitwiseAND(F.negative(width))
 
 
 def bucket_middle(low: Column, opts: HistogramOptions) -> Column:
     """Middle of the bucket with this lowest value."""
-    return _by_power(
-        low, opts, lambda v, b: v if b == 0 else v + F.lit(2 ** (b - 1)).cast("bigint")
-    )
+    width = F.call_function("shiftleft", F.lit(1).cast("bigint"), _shift(low, opts))
+    return low + F.shiftright(width, 1)
 
 
 def rank_of(percent: int, n: Column, rule: str) -> Column:

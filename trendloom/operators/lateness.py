@@ -7,9 +7,10 @@ oldest open one; opening one window too many closes the oldest.
 Put without an order of processing: a window closes at the first arrival of the ``extra_windows + 1``-th
 window later than it. So only the first arrival of each window matters, not the sequence of points:
 
-1. ``first_arrivals``: the smallest arrival per trend and window, a plain aggregate.
-2. ``gates``: per trend and interval, over its distinct windows from newest to oldest, the k-th smallest
-   first arrival. One row per window, so the rows of a trend are bounded by its time range.
+1. ``first_arrivals``: the smallest arrival per trend and grain (the minute that nests in every
+   interval), a plain aggregate.
+2. ``gates``: per trend, over its minutes, the k-th smallest first arrival of later windows, for every
+   interval at once. One row per minute, so the rows of a trend are bounded by its time range.
 3. ``judged_cells``: points pre-aggregated by slices of arrival. A slice that lies wholly before or
    after the closing of its window is taken or left as one row. Only slices that contain the moment
    of closing are looked up point by point.
@@ -26,47 +27,83 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trendloom.operators.cells import SERIES, Tally, assign_windows, trend_total
+from trendloom.operators.cells import SERIES, Tally, trend_total, window_start
 from trendloom.options import TrendOptions
 
 BEFORE_ALL = -(2**63)
 WINDOW = ("trend_key", "seconds", "win_start")
+GATE = ("seconds", "win_start", "opens", "closes")
 CELL = (*SERIES, "seconds", "win_start", "bucket")
 
 
-def first_arrivals(tally: Tally, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
-    """First arrival per trend, interval and window; windows carried over count as there from the start."""
-    groups = tally.rows.groupBy(*tally.part).agg(F.min("arrival").alias("first"))
-    by_grain = tally.spread(groups).groupBy("trend_key", "grain_start").agg(F.min("first").alias("first"))
-    firsts = assign_windows(by_grain, opts.intervals, "grain_start").select(*WINDOW, "first")
-    if carried is not None:
-        firsts = firsts.unionByName(carried.select(*WINDOW, F.lit(BEFORE_ALL).alias("first")))
-    return firsts.groupBy(*WINDOW).agg(F.min("first").alias("first"))
+def arrival_slices(tally: Tally) -> DataFrame:
+    """Groups of a sliced tally with their first and last arrival.
+
+    The filter is always true. It reads every column, so that the uses of the slices stay the same plan
+    up to their exchange whatever columns each needs, and Spark computes them once.
+    """
+    groups = tally.rows.groupBy(*tally.part).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.try_sum("amount").alias("total"),
+        F.min("arrival").alias("earliest"),
+        F.max("arrival").alias("latest"),
+    )
+    always = (F.col("n") > 0) & (F.col("latest") >= F.col("earliest")) & (F.coalesce("total", F.lit(0)) >= 0)
+    return groups.where(always)
+
+
+def first_arrivals(spread: DataFrame, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
+    """First arrival per trend and minute, as ``first_<seconds>`` for every interval, from spread slices.
+
+    A window carried over counts as there from the start, for its own interval only.
+    """
+    names = {i.seconds: f"first_{i.seconds}" for i in opts.intervals}
+    if carried is None:
+        lowest = spread.groupBy("trend_key", "grain_start").agg(F.min("earliest").alias("first"))
+        return lowest.select("trend_key", "grain_start", *[F.col("first").alias(n) for n in names.values()])
+    seen = spread.select("trend_key", "grain_start", *[F.col("earliest").alias(n) for n in names.values()])
+    there = carried.select(
+        "trend_key",
+        F.col("win_start").alias("grain_start"),
+        *[F.when(F.col("seconds") == s, F.lit(BEFORE_ALL)).alias(n) for s, n in names.items()],
+    )
+    both = seen.unionByName(there)
+    return both.groupBy("trend_key", "grain_start").agg(*[F.min(n).alias(n) for n in names.values()])
 
 
 def gates(firsts: DataFrame, opts: TrendOptions) -> DataFrame:
-    """Adds ``opens`` (false before the first point's window) and ``closes`` (null while open).
+    """Per trend and minute an array ``gates`` with, for every interval, the window the minute is in,
+    ``opens`` (false before the window of the first point) and ``closes`` (null while open).
 
-    The k-th smallest of the values before a row is found by passing, k times, the larger of each
-    value and the running minimum on to the next running minimum.
+    The k-th smallest of the first arrivals of later windows is found by passing, k times, the larger of
+    each window's value and the running minimum on to the next running minimum.
     """
-    trend = Window.partitionBy("trend_key", "seconds")
-    later = trend.orderBy(F.col("win_start").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    rows = firsts.withColumn("beginning", F.min(F.struct("first", "win_start")).over(trend)["win_start"])
-    rows = rows.withColumn("passed_0", F.col("first"))
-    for k in range(max(i.extra_windows for i in opts.intervals) + 1):
-        rows = rows.withColumn(f"smallest_{k}", F.min(f"passed_{k}").over(later))
-        passed_on = F.when(
-            F.col(f"passed_{k}").isNotNull() & F.col(f"smallest_{k}").isNotNull(),
-            F.greatest(f"passed_{k}", f"smallest_{k}"),
-        )
-        rows = rows.withColumn(f"passed_{k + 1}", passed_on)
-    closes = F
+    trend = Window.partitionBy("trend_key")
+    rows = firsts
+    gate = []
     for interval in opts.intervals:
-        closes = closes.when(F.col("seconds") == interval.seconds, F.col(f"smallest_{interval.extra_windows}"))
-    return rows.select(
-        *WINDOW, (F.col("win_start") >= F.col("beginning")).alias("opens"), closes.alias("closes")
-    )
+        s = interval.seconds
+        win, first = f"win_{s}", f"first_{s}"
+        rows = rows.withColumn(win, window_start(F.col("grain_start"), s))
+        newest_first = trend.orderBy(F.col(win).desc())
+        same, later = newest_first.rangeBetween(0, 0), newest_first.rangeBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn(f"passed_{s}_0", F.min(first).over(same))
+        for k in range(interval.extra_windows + 1):
+            passed, smallest = f"passed_{s}_{k}", f"smallest_{s}_{k}"
+            rows = rows.withColumn(smallest, F.min(passed).over(later))
+            both = F.col(passed).isNotNull() & F.col(smallest).isNotNull()
+            rows = rows.withColumn(f"passed_{s}_{k + 1}", F.when(both, F.greatest(passed, smallest)))
+        opening = F.when(F.col(first).isNotNull(), F.struct(F.col(first), F.col(win)))
+        rows = rows.withColumn(f"beginning_{s}", F.min(opening).over(trend)[win])
+        gate.append(
+            F.struct(
+                F.lit(s).cast("bigint").alias("seconds"),
+                F.col(win).alias("win_start"),
+                (F.col(win) >= F.col(f"beginning_{s}")).alias("opens"),
+                F.col(f"smallest_{s}_{interval.extra_windows}").alias("closes"),
+            )
+        )
+    return rows.select("trend_key", "grain_start", F.array(*gate).alias("gates"))
 
 
 def _within(arrival: Column) -> Column:
@@ -81,16 +118,13 @@ def judged_cells(tally: Tally, opts: TrendOptions, carried: DataFrame | None = N
     points, see the streaming use.
     """
     arrival = F.coalesce(F.col("arrival"), F.lit(BEFORE_ALL + 1))
-    tally = replace(tally, rows=tally.rows.withColumn("arrival", arrival))
-    bars = gates(first_arrivals(tally, opts, carried), opts)
-    sliced = tally.with_slices(opts.arrival_block)
-    groups = sliced.rows.groupBy(*sliced.part).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.try_sum("amount").alias("total"),
-        F.min("arrival").alias("earliest"),
-        F.max("arrival").alias("latest"),
+    sliced = replace(tally, rows=tally.rows.withColumn("arrival", arrival)).with_slices(opts.arrival_block)
+    spread = tally.spread(arrival_slices(sliced))
+    bars = gates(first_arrivals(spread, opts, carried), opts)
+    joined = spread.join(bars, ["trend_key", "grain_start"])
+    graded = joined.select(
+        *[c for c in joined.columns if c != "gates"], F.inline_outer("gates").alias(*GATE)
     )
-    graded = assign_windows(tally.spread(groups), opts.intervals, "grain_start").join(bars, list(WINDOW))
     whole = _within(F.col("latest")) | ~_within(F.col("earliest"))
     taken = graded.where(whole).select(
         *CELL, "n", trend_total().alias("total"), _within(F.col("latest")).alias("accepted"), "closes"
@@ -112,7 +146,9 @@ def judged_cells(tally: Tally, opts: TrendOptions, carried: DataFrame | None = N
     found = [taken, single]
     if carried is not None:
         kept = carried.select(*CELL, "n", "total", F.lit(True).alias("accepted"))
-        found.append(kept.join(bars.select(*WINDOW, "closes"), list(WINDOW)).select(*taken.columns))
+        windows = bars.select("trend_key", "grain_start", F.inline_outer("gates").alias(*GATE))
+        own = windows.where(F.col("grain_start") == F.col("win_start")).select(*WINDOW, "closes")
+        found.append(kept.join(own, list(WINDOW)).select(*taken.columns))
     return (
         reduce(DataFrame.unionByName, found)
         .withColumn("closed", F.col("closes").isNotNull())

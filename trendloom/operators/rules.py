@@ -37,13 +37,23 @@ def has_tag(tags: Column, name: str, value: str) -> Column:
 
 def agg_type_of(metric: Column, mtype: Column, rules: Sequence[Rule] = DEFAULT_RULES) -> Column:
     """Aggregation of a metric, null when no rule matches."""
+    none = F.lit(None).cast("string")
+    types = {rule.mtype.lower() for rule in rules}
+    if len(types) == 1:
+        # One type for all rules is looked up once.
+        named = _first_match([(F.lower(metric).contains(r.contains.lower()), r.agg_type) for r in rules])
+        return F.when(F.lower(mtype) == types.pop(), named).otherwise(none)
+    matches = [
+        (F.lower(metric).contains(r.contains.lower()) & (F.lower(mtype) == r.mtype.lower()), r.agg_type) for r in rules
+    ]
+    return _first_match(matches) if matches else none
+
+
+def _first_match(matches: Sequence[tuple[Column, str]]) -> Column:
     chosen = F
-    for rule in rules:
-        chosen = chosen.when(
-            F.lower(metric).contains(rule.contains.lower()) & (F.lower(mtype) == rule.mtype.lower()),
-            F.lit(rule.agg_type),
-        )
-    return F.lit(None).cast("string") if chosen is F else chosen.otherwise(F.lit(None).cast("string"))
+    for condition, agg_type in matches:
+        chosen = chosen.when(condition, F.lit(agg_type))
+    return chosen.otherwise(F.lit(None).cast("string"))
 
 
 def classify(points: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFrame:
