@@ -33,7 +33,7 @@ SLOT_SCHEMA = T.StructType(
 
 
 def _slot(checkpoint: str, batch_id: int) -> str:
-    return f"{checkpoint}/open_windows/slot_{batch_id % 2}"
+    return f"{checkpoint}/open_windows/slot={batch_id % 2}"
 
 
 def _read_slot(spark: SparkSession, path: str) -> DataFrame:
@@ -78,6 +78,6 @@ def run_strict_trends(
 
 def open_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The windows a strict query has open, as of its last batch."""
-    both = _read_slot(spark, f"{checkpoint}/open_windows/slot_*")
+    both = _read_slot(spark, f"{checkpoint}/open_windows").drop("slot")
     newest = both.agg(F.max("batch_id").alias("batch_id"))
     return both.join(F.broadcast(newest), "batch_id").where(~F.col("closed")).drop("batch_id", "closed")
