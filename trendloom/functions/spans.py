@@ -38,5 +38,6 @@ def _says_error(tag: Column) -> Column:
 
 
 def point_seconds(start_us: str = "start_time_us") -> Column:
-    """Microseconds to whole seconds."""
-    return F.expr(f"{start_us} div 1000000L")
+    """Microseconds to whole seconds; an unset time is 0."""
+    start = F.coalesce(F.col(start_us), F.lit(0).cast("bigint"))
+    return F.call_function("div", start, F.lit(1_000_000).cast("bigint"))

@@ -104,15 +104,16 @@ def tally_spans(spans: DataFrame, opts: TrendOptions) -> Tally:
     if tuple(opts.transformers) != DEFAULT_TRANSFORMERS:
         raise ValueError("tally_spans knows the standard transformers only, use tally_points")
     histogram = next(a for a in opts.aggregates if a.name == S.AGG_HISTOGRAM)
-    duration = F.col("duration_us")
-    none = F.lit(S.NO_BUCKET).cast("bigint")
+    zero, none = F.lit(0).cast("bigint"), F.lit(S.NO_BUCKET).cast("bigint")
+    duration = F.coalesce(F.col("duration_us"), zero)
+    # Nothing here can be null, so that joins on these columns add no filters of their own to the plan.
     rows = spans.select(
-        "service_name",
-        "operation_name",
+        F.coalesce("service_name", F.lit("")).alias("service_name"),
+        F.coalesce("operation_name", F.lit("")).alias("operation_name"),
         is_error().alias("error"),
         window_start(point_seconds(), opts.grain).alias("grain_start"),
-        F.when(duration > 0, histogram.bucket(duration, opts.histogram)).otherwise(none).alias("low"),
-        F.when(duration > 0, duration).otherwise(F.lit(0).cast("bigint")).alias("amount"),
+        F.coalesce(F.when(duration > 0, histogram.bucket(duration, opts.histogram)), none).alias("low"),
+        F.greatest(duration, zero).alias("amount"),
         *[F.col(c) for c in ("arrival",) if c in spans.columns],
     )
     part = ("service_name", "operation_name", "error", "grain_start", "low")
