@@ -39,8 +39,8 @@ CELL = (*SERIES, "seconds", "win_start", "bucket")
 def arrival_slices(tally: Tally) -> DataFrame:
     """Groups of a sliced tally with their first and last arrival.
 
-    The filter is always true. It reads every column, so that the uses of the slices stay the same plan
-    up to their exchange whatever columns each needs, and Spark computes them once.
+    The filter is always true. It reads every column, so that column pruning does not make the uses of the
+    slices differ and Spark can share their exchange where the rest of the plan is the same, too.
     """
     groups = tally.rows.groupBy(*tally.part).agg(
         F.count(F.lit(1)).alias("n"),
