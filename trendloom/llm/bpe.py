@@ -253,10 +253,11 @@ def codec_of(path: str, pattern: str) -> Codec:
     return Codec(Vocabulary(ranks), pattern)
 
 
-def _encoded(rows: Iterator[tuple], path: str, pattern: str) -> Iterable[tuple]:
+def _encoded(rows: Iterator[tuple], path: str, pattern: str, decoded: bool) -> Iterable[tuple]:
     codec = codec_of(path, pattern)
     for some in portions(rows):
-        yield from zip([key for key, _ in some], codec.encode_many([text or "" for _, text in some]))
+        for (key, _), ids in zip(some, codec.encode_many([text or "" for _, text in some])):
+            yield (key, ids, codec.decode(ids)) if decoded else (key, ids)
 
 
 def _decoded(rows: Iterator[tuple], path: str, pattern: str) -> Iterable[tuple]:
@@ -271,7 +272,13 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     Null and empty texts have no ids. Rows are encoded one by one: null and repeated keys keep their rows, other
     columns are not read. An empty table gives an empty table. ``path`` must be readable on the executors.
     """
-    return arrow_map(docs.select(column(key).cast("long"), column(text).cast("string")), _encoded, "doc_id long, ids binary", path, pattern)
+    return arrow_map(docs.select(column(key).cast("long"), column(text).cast("string")), _encoded, "doc_id long, ids binary", path, pattern, False)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: encodes, and decodes the ids in the same worker, which so holds the vocabulary once."""
+    rows = docs.select(column(key).cast("long"), column(text).cast("string"))
+    return arrow_map(rows, _encoded, "doc_id long, ids binary, decoded binary", path, pattern, True)
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:

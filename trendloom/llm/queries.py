@@ -16,8 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path, public_tokenizers.PATTERN).select(
+    return bpe.round_trip(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
