@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Chunks in one generation of what a worker remembers, and the longest one it remembers, in characters.
-REMEMBERED, LONGEST = 200_000, 100
+REMEMBERED, LONGEST = 500_000, 100
 
 #: A space that has white space or an end beside it.
 _LOOSE = re.compile(r" (?:(?!\S)|(?<!\S ))")
@@ -72,29 +72,34 @@ class ChunkEncoder:
         seen: set[str] = set()
         for parts in split:
             seen.update(parts or ())
-        self._prepare(seen)
-        first, later = self.first.__getitem__, self.later.__getitem__
+        found = self._found(seen).__getitem__
+        first = self.first.__getitem__
         return [
-            self.encode(text) if parts is None else b"".join(map(later, parts)) if not self.spaced else first(parts[0]) + b"".join(map(later, parts[1:]))
+            self.encode(text) if parts is None else b"".join(map(found, parts)) if not self.spaced else first(parts[0]) + b"".join(map(found, parts[1:]))
             for text, parts in zip(texts, split)
         ]
 
-    def _prepare(self, seen: set[str]) -> None:
+    def _found(self, seen: set[str]) -> dict[str, bytes]:
+        """The ids of each chunk. Only words and what follows them are remembered, as their combinations are many."""
         words: set[str] = set()
-        mixed = []
+        mixed, other = [], []
         for chunk in seen:
-            if self.later.known(chunk):
-                continue
             end = m.end() if (m := _LETTERS.match(chunk)) else 0
             if end and end == len(chunk):
                 words.add(chunk)
             elif end and chunk[end] < "\x80":
                 mixed.append((chunk, chunk[:end], chunk[end:]))
-                if not self.later.known(chunk[:end]):
-                    words.add(chunk[:end])
-        self.learn(self.later, sorted(words))
+                words.add(chunk[:end])
+            else:
+                other.append(chunk)
+        first, later = self.first, self.later
+        self.learn(later, sorted(w for w in words if not later.known(w)))
+        found = {w: later[w] for w in words}
+        for chunk in other:
+            found[chunk] = later[chunk]
         for chunk, word, rest in mixed:
-            self.later.put(chunk, self.later[word] + self.first[rest])
+            found[chunk] = found[word] + first[rest]
+        return found
 
 
 @lru_cache(maxsize=4)
