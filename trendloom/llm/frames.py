@@ -107,12 +107,12 @@ def write_file(folder: str, name: str, data: bytes) -> str:
     uri = f"{folder.rstrip('/')}/{stem}-{uuid.uuid4().hex}{dot}{end}"
     store, path = _place(uri)
     store.create_dir(os.path.dirname(path), recursive=True)
-    with store.open_output_stream(path) as out:
+    with store.open_output_stream(path, compression=None) as out:
         out.write(data)
     return uri
 
 
 def read_file(uri: str) -> bytes:
     store, path = _place(uri)
-    with store.open_input_stream(path) as file:
+    with store.open_input_stream(path, compression=None) as file:
         return file.read()
