@@ -77,7 +77,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def portions(rows: Iterable[tuple], characters: int = 4 << 20) -> Iterator[list[tuple]]:
+def portions(rows: Iterable[tuple], characters: int = 12 << 20) -> Iterator[list[tuple]]:
     """Lists of rows with about so many characters or bytes in their texts, one row at least."""
     some: list[tuple] = []
     size = 0
