@@ -3,8 +3,9 @@
 1. Documents with the same set of shingles are one class; only its smallest id goes on.
 2. A class has ``BANDS * ROWS`` minima of universal hashes. Classes that share a band are candidates. At the threshold a
    pair is missed with probability (1 - 0.8**4)**40, below 1e-9.
-3. First each class is paired with the smallest id of its bucket, so a large group costs one pair for each member. Only
-   members that are still in different components are then paired among themselves, if their signatures allow it.
+3. First each class is paired with one hub of its bucket, then with a second and third one if it is still in another
+   component, so a large group costs a few pairs for each member. Only members that are then still in different components
+   are paired among themselves, if their signatures allow it.
 4. Links are confirmed on full sets, and components found by alternating large-star and small-star steps.
 """
 
@@ -15,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,8 +24,13 @@ from pyspark.sql import functions as F
 from trendloom.llm.frames import arrow_map, carried, column, portions, settled
 
 BANDS, ROWS = 40, 4
-#: A pair whose signatures agree in less than this share of the minima can't reach 0.8: it is six deviations below.
-SIGNATURE_FLOOR = 0.61
+#: Members of a bucket that are paired with all others before the rest is paired among itself.
+HUBS = 3
+#: Minima, of a byte each, by which the last pairs are verified before their sets are: at the threshold, agreement is below
+#: it by the margin, six deviations, in one case of a billion. Members of a block of a large bucket.
+LONG, LONG_MARGIN, BLOCK = 1024, 0.075, 1024
+#: Documents of a block when sets are compared.
+SETS = 512
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -88,18 +95,50 @@ def _sets(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
         yield key, shingles(text, size).astype("<u8").tobytes()
 
 
-def _agreeing(rows: Iterator[tuple]) -> Iterable[tuple]:
-    for a, b, x, y in rows:
-        if (np.frombuffer(x, "<u4") == np.frombuffer(y, "<u4")).mean() >= SIGNATURE_FLOOR:
-            yield a, b
+def _lengthened(rows: Iterator[tuple]) -> Iterable[tuple]:
+    for key, ids in rows:
+        yield key, minima(np.frombuffer(ids, "<u8"), LONG).astype(np.uint8).tobytes()
 
 
-def _linked(rows: Iterator[tuple], percent: int) -> Iterable[tuple]:
-    for a, b, x, y in rows:
-        x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+def _agreeing(table: pa.Table, percent: int) -> pa.Table:
+    """The pairs of one block, or between two, whose signatures allow a link."""
+    low, high = table["low"][0].as_py(), table["high"][0].as_py()
+    key, n, part, block = (table[c].to_numpy() for c in ("key", "n", "component", "block"))
+    signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(key), LONG)
+    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+    found: list[np.ndarray] = []
+    for i in left.tolist():
+        near = right[(part[right] != part[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
+        near = near[key[near] < key[i]] if low == high else near
+        if len(near):
+            near = near[(signatures[near] == signatures[i]).mean(axis=1) >= percent / 100 - LONG_MARGIN]
+            found.append(np.stack([np.maximum(key[near], key[i]), np.minimum(key[near], key[i])]))
+    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": both[0].astype(np.int64), "b": both[1].astype(np.int64)})
+
+
+def _likely(members: DataFrame, long: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of a bucket in different components whose long signatures allow a link.
+
+    A large bucket is dealt to blocks, and each two blocks meet in a task of their own: a member is sent once for each block,
+    never once for each other member, and no task holds more than two blocks.
+    """
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    rows = rows.select("bucket", "key", "n", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.join(long, "key").select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "component", "signature")
+    return rows.groupBy("bucket", "low", "high").applyInArrow(lambda table: _agreeing(table, percent), "a long, b long")
+
+
+def _linked(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    found = {k: np.frombuffer(v, "<u8") for k, v in zip(sets["key"].to_pylist(), sets["ids"].to_pylist())}
+    links = []
+    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        x, y = found[a], found[b]
         both = len(np.intersect1d(x, y, assume_unique=True))
         if 100 * both >= percent * (len(x) + len(y) - both):
-            yield a, b
+            links.append((a, b))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -108,10 +147,19 @@ def _close(a: str, b: str, percent: int) -> Column:
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` whose full sets are similar."""
-    one = sets.select(F.col("key").alias("a"), F.col("ids").alias("x"))
-    two = sets.select(F.col("key").alias("b"), F.col("ids").alias("y"))
-    return arrow_map(pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y"), _linked, "a long, b long", percent)
+    """Pairs ``a, b`` whose full sets are similar. ``pairs`` must be a written table.
+
+    Documents are dealt to blocks, and pairs to pairs of blocks. A set is sent once to each pair of blocks that needs it: for
+    a hub or a dense group that is far less than once for each pair, and never more.
+    """
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
+    blocks = ends.distinct().count() // SETS + 1
+    a, b = F.pmod(F.xxhash64("a"), F.lit(blocks)), F.pmod(F.xxhash64("b"), F.lit(blocks))
+    dealt = pairs.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"), "a", "b")
+    wanted = dealt.select(F.col("low").alias("one"), F.col("high").alias("two"), F.explode(F.array("a", "b")).alias("key")).distinct()
+    sent = wanted.join(sets, "key").select("one", "two", "key", "ids")
+    both = dealt.groupBy("low", "high").cogroup(sent.groupBy("one", "two"))
+    return both.applyInArrow(lambda some, full: _linked(some, full, percent), "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -168,33 +216,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     # Classes of equal sets.
     classes = single.where("n > 0").groupBy("n", "digest").agg(F.min("key").alias("class"))
     classes = settled(classes, "classes")
-    first = single.join(classes.select(F.col("class").alias("key")), "key", "left_semi")
-    first = settled(first.select("key", "n", "signature", "bands"), "first", compression="zstd")
+    first = single.select("key", "n", "bands").join(classes.select(F.col("class").alias("key")), "key", "left_semi")
 
-    # Each class and the smallest of its bucket.
-    buckets = first.select("key", "n", F.posexplode("bands").alias("band", "bucket"))
-    heads = buckets.groupBy("band", "bucket").agg(F.min("key").alias("head"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = settled(buckets.join(heads, ["band", "bucket"]).select("key", "n", "band", "bucket", "head", "members"), "shared")
+    # Buckets of two classes or more. The exchange by bucket is made once and serves the counting and the join.
+    buckets = first.select("key", "n", F.explode("bands").alias("bucket"))
+    buckets = buckets.repartition("bucket")
+    counted = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = settled(buckets.join(counted, "bucket").select("key", "n", "bucket", "members"), "shared")
     sharing = known.join(shared.select("key").distinct(), "key", "left_semi").select("key", "text")
     sets = settled(arrow_map(sharing, _sets, "key long, ids binary", size), "shingle-sets", compression="zstd")
-    sizes = first.select(F.col("key").alias("b"), F.col("n").alias("m"))
-    stars = shared.where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b"), "n").distinct()
-    stars = stars.join(sizes, "b").where(_close("n", "m", percent)).select("a", "b")
-    links = settled(confirmed(settled(stars, "stars"), sets, percent), "links")
-    parts = settled(components(links), "parts")
-
-    # Members of a bucket that the first round left in different components.
-    labelled = shared.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    open_ = labelled.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = settled(labelled.join(open_, ["band", "bucket"], "left_semi").where("members > 2").select("key", "n", "band", "bucket", "head", "component"), "open")
-    other = rest.select("band", "bucket", F.col("key").alias("b"), F.col("n").alias("m"), F.col("component").alias("far"))
-    pairs = rest.withColumnRenamed("key", "a").join(other, ["band", "bucket"]).where(
-        (F.col("a") > F.col("b")) & (F.col("component") != F.col("far")) & (F.col("b") != F.col("head")) & _close("n", "m", percent)
-    )
-    pairs = pairs.select("a", "b").distinct()
-    left = first.select(F.col("key").alias("a"), F.col("signature").alias("x"))
-    right = first.select(F.col("key").alias("b"), F.col("signature").alias("y"))
-    likely = settled(arrow_map(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _agreeing, "a long, b long"), "likely")
+
+    # In each bucket one member after the other is paired with those still in other components: first the member that meets
+    # the most others, which in a group of edited copies is the one they were made from.
+    weight = shared.groupBy("key").agg(F.sum("members").alias("met"))
+    members = settled(shared.join(weight, "key").select("key", "n", "bucket", F.struct("met", (-F.col("key")).alias("less")).alias("turn")), "members")
+    links = parts = None
+    for _ in range(HUBS):
+        hubs = members.groupBy("bucket").agg(F.max(F.struct("turn", "key", "n", "component") if parts is not None else F.struct("turn", "key", "n")).alias("hub"))
+        pairs = members.join(hubs, "bucket").where(F.col("turn") < F.col("hub.turn"))
+        pairs = pairs if parts is None else pairs.where(F.col("component") != F.col("hub.component"))
+        pairs = pairs.where(_close("n", "hub.n", percent)).select(F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct()
+        found = settled(confirmed(settled(pairs, "hub-pairs"), sets, percent), "links")
+        links = found if links is None else links.union(found)
+        parts = settled(components(links), "parts")
+        # What stays open: members after the hub, in buckets where they are still in different components.
+        rest = members.join(hubs.select("bucket", F.col("hub.turn").alias("hub_turn")), "bucket").where("turn < hub_turn").select("key", "n", "bucket", "turn")
+        rest = rest.join(parts, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        open_ = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+        members = settled(rest.join(open_, "bucket", "left_semi"), "members")
+
+    # The few that are left are paired among themselves, where their signatures allow it.
+    long = sets.join(members.select("key").distinct(), "key", "left_semi")
+    long = settled(arrow_map(long, _lengthened, "key long, signature binary"), "long-signatures")
+    likely = settled(_likely(members, long, percent).distinct(), "likely")
     more = settled(confirmed(likely, sets, percent), "links")
     if more.limit(1).count():
         parts = settled(components(links.union(more)), "parts")
