@@ -1,6 +1,8 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from catalogue.oracles import ORACLES
+from catalogue.queries import QUERIES
 from tests.compare import compare, tables
 
 
@@ -10,12 +12,12 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, sf_dir, name):
-    assert compare(spark, con, queries()[name], oracle_sql()[name], sf_dir) is None
+    assert compare(spark, con, QUERIES[name], ORACLES[name], sf_dir) is None
 
 
 def test_entry(spark):

@@ -1,15 +1,24 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import points
 from trendloom.functions.keys import flat_tags
 from trendloom.operators.quality import observe_points
 from trendloom.options import TrendOptions
-from trendloom.plans.trends import strict_point_trends
+from trendloom.plans.trends import point_trends, strict_point_trends
 from trendloom.schema import INTERVALS
-from trendloom.sources.readers import decode_messages, read_points, read_spans
-from trendloom.sources.sinks import FanoutError, Sink, require_all, to_messages, write_fanout, write_points
+from trendloom.sources.readers import broken_messages, decode_messages, read_points, read_spans
+from trendloom.sources.sinks import (
+    FanoutError,
+    Sink,
+    require_all,
+    start_point_stream,
+    to_messages,
+    write_fanout,
+    write_points,
+)
 from trendloom.streaming.native import in_flight, native_cells, rolled_cells, start_native_trend
 from trendloom.streaming.strict import open_windows, run_strict_trends
 
@@ -105,7 +114,43 @@ def test_messages(spark):
     assert message.key == "duration,mtype=gauge,unit=short" and json.loads(message.value)["value"] == 5.0
     raw = spark.createDataFrame([(message.value, 41), ("not json", 42)], "value string, offset bigint")
     rows = decode_messages(raw, df.schema).collect()
-    assert rows[0].value == 5.0 and rows[0].ts_sec == 7
+    assert len(rows) == 1 and rows[0].value == 5.0 and rows[0].ts_sec == 7 and rows[0].arrival is not None
+    assert [r.broken for r in broken_messages(raw, df.schema).collect()] == ["not json"]
+
+
+def test_points_are_added(spark, tmp_path):
+    df = points(spark, "duration", [(1, 1)])
+    for _ in range(2):
+        write_points(df, str(tmp_path / "p"), buckets=4)
+    assert read_points(spark, str(tmp_path / "p")).count() == 2
+    with pytest.raises(ValueError):
+        read_points(spark, str(tmp_path / "p"), streaming=True, start="latest")
+
+
+def test_point_stream(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(2):
+        add_file(spark, source, [(i + 1, 10 * i)], i)
+        stream = read_points(spark, source, streaming=True)
+        query = start_point_stream(stream, out, str(tmp_path / "check"), buckets=2)
+        query.processAllAvailable()
+        query.stop()
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == [1.0, 2.0]
+
+
+def test_an_optional_sink_may_fail(spark, tmp_path):
+    results = write_fanout(points(spark, "duration", [(1, 1)]), [Sink("a", path=str(tmp_path / "a")), Sink("b", format="no-such-format", optional=True)])
+    require_all(results)
+    assert [r["ok"] for r in results] == [True, False]
+
+
+def test_keys_of_their_own(spark):
+    """A null key is derived, and one that names a tag twice does no harm."""
+    df = points(spark, "success-span", [(1, 1), (2, 2)])
+    keyless = df.withColumn("trend_key", F.lit(None).cast("string"))
+    assert flat(point_trends(keyless)) == flat(point_trends(df))
+    twice = df.withColumn("trend_key", F.lit("a=b,a=c,a=d"))
+    assert {r.out_key for r in point_trends(twice).collect()} == {"a=b,a=c,a=d"}
 
 
 def test_json_spans(spark, tmp_path):

@@ -66,15 +66,16 @@ def key_metric(key: Column) -> Column:
 def key_tags(key: Column) -> Column:
     """The tag map of a key."""
     pairs = F.slice(F.split(key, ","), F.lit(2), F.greatest(F.size(F.split(key, ",")) - 1, F.lit(0)))
-    return F.map_from_entries(
-        F.transform(
-            pairs,
-            lambda p: F.struct(
-                unescape(F.substring_index(p, "=", 1)).alias("key"),
-                unescape(F.substring_index(p, "=", -1)).alias("value"),
-            ),
-        )
+    entries = F.transform(
+        pairs,
+        lambda p: F.struct(
+            unescape(F.substring_index(p, "=", 1)).alias("key"),
+            unescape(F.substring_index(p, "=", -1)).alias("value"),
+        ),
     )
+    # A key that was not made here may name a tag twice: the first one counts.
+    names = F.transform(entries, lambda e: e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1))
 
 
 def flat_tags(tags: Column) -> Column:

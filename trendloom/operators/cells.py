@@ -85,7 +85,7 @@ def prepared_points(points: DataFrame, opts: TrendOptions) -> DataFrame:
     return (
         typed.withColumn("amount", H.to_long(F.col("value")))
         .withColumn("bucket", none if bucket is F else bucket.otherwise(none))
-        .withColumn("grain_start", window_start(F.col("ts_sec"), opts.grain))
+        .withColumn("grain_start", window_start(F.coalesce("ts_sec", F.lit(0)), opts.grain))
     )
 
 

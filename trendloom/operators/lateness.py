@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from trendloom.operators.cells import SERIES, Tally, trend_total, window_start
 from trendloom.options import TrendOptions
+from trendloom.session import written
 
 BEFORE_ALL = -(2**63)
 WINDOW = ("trend_key", "seconds", "win_start")
@@ -37,19 +38,13 @@ CELL = (*SERIES, "seconds", "win_start", "bucket")
 
 
 def arrival_slices(tally: Tally) -> DataFrame:
-    """Groups of a sliced tally with their first and last arrival.
-
-    The filter is always true. It reads every column, so that column pruning does not make the uses of the
-    slices differ and Spark can share their exchange where the rest of the plan is the same, too.
-    """
-    groups = tally.rows.groupBy(*tally.part).agg(
+    """Groups of a sliced tally with their first and last arrival."""
+    return tally.rows.groupBy(*tally.part).agg(
         F.count(F.lit(1)).alias("n"),
         F.try_sum("amount").alias("total"),
         F.min("arrival").alias("earliest"),
         F.max("arrival").alias("latest"),
     )
-    always = (F.col("n") > 0) & (F.col("latest") >= F.col("earliest")) & (F.coalesce("total", F.lit(0)) >= 0)
-    return groups.where(always)
 
 
 def first_arrivals(spread: DataFrame, opts: TrendOptions, carried: DataFrame | None = None) -> DataFrame:
@@ -119,7 +114,8 @@ def judged_cells(tally: Tally, opts: TrendOptions, carried: DataFrame | None = N
     """
     arrival = F.coalesce(F.col("arrival"), F.lit(BEFORE_ALL + 1))
     sliced = replace(tally, rows=tally.rows.withColumn("arrival", arrival)).with_slices(opts.arrival_block)
-    spread = tally.spread(arrival_slices(sliced))
+    # Written once: the gates, the slices taken whole and the cut ones all come from them.
+    spread = tally.spread(written(arrival_slices(sliced), "slices"))
     bars = gates(first_arrivals(spread, opts, carried), opts)
     joined = spread.join(bars, ["trend_key", "grain_start"])
     graded = joined.select(
@@ -134,7 +130,10 @@ def judged_cells(tally: Tally, opts: TrendOptions, carried: DataFrame | None = N
     cut = graded.where(~whole).select(
         *CELL, "by_count", "opens", "closes", *[F.col(c).alias(name) for c, name in parts.items()]
     )
-    looked_up = sliced.rows.select(
+    cut = written(cut, "cut-slices")
+    # Raw rows are cut to the minutes and stretches of arrival in question before any of them is shuffled by its whole key.
+    near = cut.select(*[F.col(parts[c]).alias(c) for c in ("grain_start", "slice")]).distinct()
+    looked_up = sliced.rows.join(near, ["grain_start", "slice"], "left_semi").select(
         F.col("amount").alias("total"),
         F.lit(1).cast("bigint").alias("n"),
         "arrival",

@@ -64,7 +64,6 @@ def classify(points: DataFrame, rules: Sequence[Rule] = DEFAULT_RULES) -> DataFr
 
 
 def with_trend_key(points: DataFrame) -> DataFrame:
-    """Adds ``trend_key`` to points that came without one."""
-    if "trend_key" in points.columns:
-        return points
-    return points.withColumn("trend_key", trend_key(F.col("metric"), F.col("tags")))
+    """Adds ``trend_key`` to points that came without one, be it the column or its value."""
+    derived = trend_key(F.col("metric"), F.col("tags"))
+    return points.withColumn("trend_key", F.coalesce("trend_key", derived) if "trend_key" in points.columns else derived)

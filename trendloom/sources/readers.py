@@ -13,6 +13,9 @@ from trendloom.schema import POINT_SCHEMA, SPAN_SCHEMA
 
 START_POSITIONS = ("latest", "earliest")
 FILE_FORMATS = ("parquet", "orc", "json")
+BROKEN = "_broken"
+#: Offsets that are told apart within a millisecond.
+OFFSETS = 1 << 20
 
 
 def start_position(start: str) -> str:
@@ -28,10 +31,10 @@ def _read(
     schema: T.StructType,
     format: str,
     streaming: bool,
-    start: str,
+    start: str | None,
     options: Mapping[str, str] | None,
 ) -> DataFrame:
-    start = start_position(start)
+    start = start_position(start or ("latest" if format == "kafka" else "earliest"))
     reader = spark.readStream if streaming else spark.read
     if format == "kafka":
         # A table has no latest point to start from, so a batch read always covers the whole topic.
@@ -41,35 +44,56 @@ def _read(
         return decode_messages(raw, schema)
     if format not in FILE_FORMATS:
         raise ValueError(f"unknown source format {format!r}, use kafka or one of {FILE_FORMATS}")
-    if streaming:
-        reader = reader.option("latestFirst", str(start == "latest").lower())
+    if streaming and start == "latest":
+        raise ValueError("files have no latest position: a stream reads all of them, the oldest first")
     return reader.format(format).schema(schema).options(**(options or {})).load(path)
 
 
+def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds ``body``, and ``broken``: the text of a body that is missing or does not fit the schema."""
+    text = F.col("value").cast("string")
+    kept = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    rows = raw.withColumn("body", F.from_json(text, kept, options))
+    broken = F.when(F.col("body").isNull(), F.coalesce(text, F.lit(""))).otherwise(F.col(f"body.{BROKEN}"))
+    return rows.withColumn("broken", broken)
+
+
 def decode_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of a message bus (``value`` as JSON) to columns; a body that does not parse is left out.
 
-    ``arrival`` falls back to the offset: messages of one key share a partition, so offsets order them.
+    ``arrival``, where the body has none, orders messages. Points lie in the partition of their trend, so their
+    offset does. Spans of a service lie in many partitions, so they go by the time of the message, then the offset.
+    :func:`broken_messages` has what is left out.
     """
-    body = F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE"})
-    rows = raw.withColumn("body", body).where(F.col("body").isNotNull())
+    rows = _parsed(raw, schema).where(F.col("broken").isNull())
     columns = [F.col(f"body.{f.name}") for f in schema.fields if f.name != "arrival"]
-    arrival = F.coalesce(F.col("body.arrival"), F.col("offset")) if "offset" in raw.columns else F.col("body.arrival")
+    arrival = F.col("body.arrival")
+    if "offset" in raw.columns:
+        order = F.col("offset").cast("bigint")
+        if "trend_key" not in schema.names and "timestamp" in raw.columns:
+            order = F.unix_millis("timestamp") * OFFSETS + F.pmod(order, F.lit(OFFSETS))
+        arrival = F.coalesce(arrival, order)
     return rows.select(*columns, arrival.alias("arrival"))
 
 
+def broken_messages(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """The messages that :func:`decode_messages` leaves out, with their text in ``broken``; count them to watch a source."""
+    return _parsed(raw, schema).where(F.col("broken").isNotNull()).drop("body")
+
+
 def read_spans(
     spark: SparkSession,
     path: str,
     format: str = "parquet",
     streaming: bool = False,
-    start: str = "latest",
+    start: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Spans from a folder of files, or from the topic ``path`` when ``format`` is kafka.
 
-    ``start`` says where a stream begins: for a bus the offset; for files ``latest`` takes the newest
-    files first and still reads all of them.
+    ``start`` says where a stream of a bus begins, by default at the latest offset. A stream of files always reads all of
+    them, the oldest first, so that no file's event time makes another file's points late.
     """
     return _read(spark, path, SPAN_SCHEMA, format, streaming, start, options)
 
@@ -79,7 +103,7 @@ def read_points(
     path: str,
     format: str = "parquet",
     streaming: bool = False,
-    start: str = "latest",
+    start: str | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Metric points, such as :func:`trendloom.sources.sinks.write_points` wrote; a missing key is derived."""

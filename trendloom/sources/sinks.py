@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def to_messages(rows: DataFrame, key: str = "trend_key") -> DataFrame:
@@ -15,15 +16,24 @@ def to_messages(rows: DataFrame, key: str = "trend_key") -> DataFrame:
     return rows.select(F.col(key).alias("key"), F.to_json(body).alias("value"))
 
 
-def write_points(points: DataFrame, path: str, buckets: int = 64, format: str = "parquet") -> None:
-    """Points stored so that all points of a trend lie in one ``key_bucket`` folder.
+def write_points(points: DataFrame, path: str, buckets: int = 64, format: str = "parquet", mode: str = "append") -> None:
+    """Points stored so that all points of a trend lie in one ``key_bucket`` folder; added to what is there.
 
     The rebalance hint brings a bucket together and lets Spark cut a bucket that a hot trend has made
     too large into several tasks and files of the same folder.
     """
     bucket = F.pmod(F.xxhash64("trend_key"), F.lit(buckets)).cast("int")
     keyed = points.withColumn("key_bucket", bucket)
-    keyed.hint("rebalance", "key_bucket").write.mode("overwrite").format(format).partitionBy("key_bucket").save(path)
+    keyed.hint("rebalance", "key_bucket").write.mode(mode).format(format).partitionBy("key_bucket").save(path)
+
+
+def start_point_stream(points: DataFrame, path: str, checkpoint: str, buckets: int = 64, format: str = "parquet") -> StreamingQuery:
+    """The same for a stream. Each batch has a folder of its own, which a repeated batch overwrites."""
+
+    def emit(batch: DataFrame, batch_id: int) -> None:
+        write_points(batch, f"{path.rstrip('/')}/batch={batch_id}", buckets, format, mode="overwrite")
+
+    return points.writeStream.foreachBatch(emit).option("checkpointLocation", checkpoint).start()
 
 
 @dataclass(frozen=True)
@@ -38,6 +48,8 @@ class Sink:
     mode: str = "append"
     as_messages: bool = False
     partition_by: tuple[str, ...] = ()
+    #: A batch goes on when an optional sink fails; the failure is in the results.
+    optional: bool = False
 
 
 def _flat(rows: DataFrame, sink: Sink) -> DataFrame:
@@ -72,9 +84,9 @@ def write_fanout(rows: DataFrame, sinks: Sequence[Sink]) -> list[dict]:
     try:
         for sink in wanted:
             try:
-                results.append({"sink": sink.name, "rows": write_one(shared, sink), "ok": True, "error": None})
+                results.append({"sink": sink.name, "rows": write_one(shared, sink), "ok": True, "error": None, "optional": sink.optional})
             except Exception as failure:  # noqa: BLE001 - reported to the caller per sink
-                results.append({"sink": sink.name, "rows": None, "ok": False, "error": str(failure)[:500]})
+                results.append({"sink": sink.name, "rows": None, "ok": False, "error": str(failure), "optional": sink.optional})
     finally:
         if len(wanted) > 1:
             shared.unpersist()
@@ -82,10 +94,10 @@ def write_fanout(rows: DataFrame, sinks: Sequence[Sink]) -> list[dict]:
 
 
 class FanoutError(RuntimeError):
-    """At least one sink failed; raised where a batch must be tried again."""
+    """At least one sink that is not optional failed; raised where a batch must be tried again."""
 
 
 def require_all(results: Sequence[dict]) -> None:
-    failed = [r for r in results if not r["ok"]]
+    failed = [r for r in results if not r["ok"] and not r.get("optional")]
     if failed:
         raise FanoutError("; ".join(f"{r['sink']}: {r['error']}" for r in failed))
