@@ -2,6 +2,7 @@
 
 import base64
 import collections
+import functools
 
 import public_tokenizers as P
 import pytest
@@ -47,12 +48,17 @@ def test_query_equals_sql(spark, con, sf_dir, name):
     assert compare(spark, con, QUERIES[name], ORACLES[name], sf_dir) is None
 
 
-def library_ids(name, text):
+@functools.cache
+def tokenizer(name):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(P.path(name))
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def library_ids(name, text):
+    return tokenizer(name).encode(text or "", add_special_tokens=False).ids
 
 
 def test_op1(spark, sf_dir):
