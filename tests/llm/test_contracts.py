@@ -3,6 +3,7 @@
 import base64
 import collections
 import functools
+import random
 
 import public_tokenizers as P
 import pytest
@@ -98,6 +99,25 @@ def test_op2_chain_and_groups(spark):
     assert len({c for _, c in want.values()}) == 3
 
 
+def test_op2_left_over_members(spark, monkeypatch):
+    """Copies of a text that is not there itself: with one hub and small blocks, the last comparison has links to find."""
+    monkeypatch.setattr(minhash, "HUBS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 6)
+    draw = random.Random(4)
+    docs = []
+    for group in range(4):
+        base = [f"g{group}w{i}" for i in range(120)]
+        for _ in range(40):
+            words = list(base)
+            for i in draw.sample(range(120), draw.randint(3, 12)):
+                words[i] = f"x{draw.random()}"
+            docs.append((len(docs) + 1, " ".join(words)))
+    want = models.near_duplicates(docs)
+    assert len({c for _, c in want.values()}) > 4
+    got = {r[0]: r[1:3] for r in rows_of(minhash.near_duplicates(awkward(spark, docs)))}
+    assert got == want
+
+
 def test_op2_awkward(spark):
     got = rows_of(minhash.near_duplicates(awkward(spark)))
     want = models.near_duplicates([(d, t) for d, t in AWKWARD if d is not None])

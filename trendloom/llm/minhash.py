@@ -5,8 +5,9 @@
    pair is missed with probability (1 - 0.8**4)**40, below 1e-9.
 3. First each class is paired with one hub of its bucket, then with a second and third one if it is still in another
    component, so a large group costs a few pairs for each member. Only members that are then still in different components
-   are paired among themselves, if their signatures allow it.
-4. Links are confirmed on full sets, and components found by alternating large-star and small-star steps.
+   are compared among themselves, in blocks: by signatures, then by full sets, and only links that join components leave
+   the task.
+4. Every link is confirmed on full sets, and components are found by alternating large-star and small-star steps.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ BANDS, ROWS = 40, 4
 #: Members of a bucket that are paired with all others before the rest is paired among itself.
 HUBS = 3
 #: Minima, of a byte each, by which the last pairs are verified before their sets are: at the threshold, agreement is below
-#: it by the margin, six deviations, in one case of a billion. Members of a block of a large bucket.
-LONG, LONG_MARGIN, BLOCK = 1024, 0.075, 1024
+#: it by the margin, six deviations, in one case of a billion.
+LONG, LONG_MARGIN = 1024, 0.075
+#: Members of a block of a large bucket, and shingle ids of all of them together.
+BLOCK, BLOCK_IDS = 1024, 4 << 20
 #: Documents of a block when sets are compared.
 SETS = 512
 
@@ -78,6 +81,11 @@ def minima(ids: np.ndarray, count: int = BANDS * ROWS) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
+def bands_of(signature: np.ndarray) -> list[int]:
+    """A bucket for each band of ``ROWS`` minima."""
+    return [xxhash.xxh64_intdigest(signature[i : i + ROWS].tobytes(), seed=i) - (1 << 63) for i in range(0, len(signature), ROWS)]
+
+
 def _signed(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
     for key, text in rows:
         ids = shingles(text, size)
@@ -86,8 +94,7 @@ def _signed(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
             continue
         packed = ids.astype("<u8").tobytes()
         signature = minima(ids)
-        bands = [xxhash.xxh64_intdigest(signature[i : i + ROWS].tobytes(), seed=i) - (1 << 63) for i in range(0, len(signature), ROWS)]
-        yield key, len(ids), xxhash.xxh128_digest(packed), signature.tobytes(), bands
+        yield key, len(ids), xxhash.xxh128_digest(packed), signature.tobytes(), bands_of(signature)
 
 
 def _sets(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
@@ -96,38 +103,60 @@ def _sets(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
 
 
 def _lengthened(rows: Iterator[tuple]) -> Iterable[tuple]:
-    for key, ids in rows:
-        yield key, minima(np.frombuffer(ids, "<u8"), LONG).astype(np.uint8).tobytes()
+    for key, packed in rows:
+        ids = np.frombuffer(packed, "<u8")
+        yield key, packed, minima(ids, LONG).astype(np.uint8).tobytes(), bands_of(minima(ids))
+
+
+def _common(x: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many ids of ``x`` each of the others has; all are sorted and distinct."""
+    joined = np.concatenate(others)
+    hit = x[np.minimum(np.searchsorted(x, joined), len(x) - 1)] == joined
+    return np.add.reduceat(hit, np.cumsum([0] + [len(o) for o in others[:-1]]), dtype=np.int64)
 
 
-def _agreeing(table: pa.Table, percent: int) -> pa.Table:
-    """The pairs of one block, or between two, whose signatures allow a link."""
-    low, high = table["low"][0].as_py(), table["high"][0].as_py()
+def _joining(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one block, or between two, that join components: fewer than there are members.
+
+    A pair that shares several buckets is looked at in the first one only. Signatures that allow a link are followed by the
+    full sets. Once two components are joined, no more pairs of them are looked at.
+    """
+    low, high, bucket = (table[c][0].as_py() for c in ("low", "high", "bucket"))
     key, n, part, block = (table[c].to_numpy() for c in ("key", "n", "component", "block"))
+    part = part.copy()
+    sets = [np.frombuffer(x, "<u8") for x in table["ids"].to_pylist()]
     signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(key), LONG)
+    bands = np.array(table["bands"].to_pylist(), np.int64)
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    found: list[np.ndarray] = []
+    found: list[tuple[int, int]] = []
     for i in left.tolist():
         near = right[(part[right] != part[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
         near = near[key[near] < key[i]] if low == high else near
         if len(near):
+            near = near[bands[i][(bands[near] == bands[i]).argmax(axis=1)] == bucket]
             near = near[(signatures[near] == signatures[i]).mean(axis=1) >= percent / 100 - LONG_MARGIN]
-            found.append(np.stack([np.maximum(key[near], key[i]), np.minimum(key[near], key[i])]))
-    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return pa.table({"a": both[0].astype(np.int64), "b": both[1].astype(np.int64)})
+        if len(near):
+            both = _common(sets[i], [sets[j] for j in near.tolist()])
+            for j in near[100 * both >= percent * (n[near] + n[i] - both)].tolist():
+                if part[j] != part[i]:
+                    found.append((max(key[i], key[j]), min(key[i], key[j])))
+                    part[part == part[j]] = part[i]
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
-def _likely(members: DataFrame, long: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a bucket in different components whose long signatures allow a link.
+def _joined(members: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between members of a bucket in different components, enough of them to join what is similar.
 
     A large bucket is dealt to blocks, and each two blocks meet in a task of their own: a member is sent once for each block,
-    never once for each other member, and no task holds more than two blocks.
+    never once for each other member, and no task holds more than two blocks. Pairs stay inside their task, only links leave.
     """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_IDS)).cast("int")
+    sizes = members.groupBy("bucket").agg(blocks.alias("blocks"))
     rows = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     rows = rows.select("bucket", "key", "n", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.join(long, "key").select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "component", "signature")
-    return rows.groupBy("bucket", "low", "high").applyInArrow(lambda table: _agreeing(table, percent), "a long, b long")
+    low, high = F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    rows = rows.join(full, "key").select("bucket", low, high, "block", "key", "n", "component", "ids", "signature", "bands")
+    return rows.groupBy("bucket", "low", "high").applyInArrow(lambda table: _joining(table, percent), "a long, b long")
 
 
 def _linked(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
@@ -245,11 +274,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         open_ = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
         members = settled(rest.join(open_, "bucket", "left_semi"), "members")
 
-    # The few that are left are paired among themselves, where their signatures allow it.
-    long = sets.join(members.select("key").distinct(), "key", "left_semi")
-    long = settled(arrow_map(long, _lengthened, "key long, signature binary"), "long-signatures")
-    likely = settled(_likely(members, long, percent).distinct(), "likely")
-    more = settled(confirmed(likely, sets, percent), "links")
+    # The few that are left are compared among themselves. A pair's first common bucket either is among these, or had one of
+    # the two as its hub, or is closed since both are in one component: so looking at a pair there alone loses none.
+    full = sets.join(members.select("key").distinct(), "key", "left_semi")
+    full = settled(arrow_map(full, _lengthened, "key long, ids binary, signature binary, bands array<long>"), "full-members")
+    more = settled(_joined(members, full, percent), "links")
     if more.limit(1).count():
         parts = settled(components(links.union(more)), "parts")
 
