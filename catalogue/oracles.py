@@ -187,6 +187,34 @@ SELECT event_id, metric, CASE WHEN event_id % 5 = 0 THEN NULL
   WHEN metric ILIKE '%success-span%' OR metric ILIKE '%failure-span%' THEN 'Count'
   WHEN metric ILIKE '%duration%' OR metric ILIKE '%latency%' THEN 'Histogram' END AS agg_type FROM n
 """,
+    "own_rule": """
+WITH n AS (SELECT event_id, concat(CASE event_id % 8 WHEN 0 THEN 'Success-Span' WHEN 1 THEN 'failure-span'
+    WHEN 2 THEN 'DURATION' WHEN 3 THEN 'p.latency' WHEN 4 THEN 'success-span-duration'
+    WHEN 5 THEN 'latency-failure-span' WHEN 6 THEN 'received' ELSE 'duration' END, '.', event_type) AS metric
+  FROM events)
+SELECT event_id, metric, CASE
+  WHEN event_id % 5 = 0 THEN CASE WHEN metric ILIKE '%received%' THEN 'Count' END
+  WHEN metric ILIKE '%latency%' OR metric ILIKE '%success-span%' OR metric ILIKE '%failure-span%' THEN 'Count'
+  WHEN metric ILIKE '%duration%' THEN 'Histogram' END AS agg_type FROM n
+""",
+    "own_transformer": _with(EVENT_SPANS)
+    + f""" SELECT event_id, 'slow-latency' AS metric, 'mtype=gauge,operationName=' || replace(operation_name, '.', '___')
+  || ',product=tracing,serviceName=' || replace(service_name, '.', '___') || ',slow=yes,unit=microseconds' AS tags,
+  CAST(duration_us AS DOUBLE) * 2 AS value, start_us // 1000000 AS ts_sec
+FROM espans WHERE {NAMED} AND duration_us > 5000000""",
+    "own_aggregate": """
+WITH p AS (SELECT concat('queue-depth.', event_type) AS metric, epoch_us(ts) // 1000000 AS t, user_id % 8 + 1 AS v FROM events),
+f AS (SELECT metric, i.name, (t // i.s) * i.s + i.s AS ts_sec, v
+  FROM p, (VALUES (60, 'OneMinute'), (300, 'FiveMinute'), (900, 'FifteenMinute'), (3600, 'OneHour')) i(s, name))
+SELECT metric || ',mtype=level' AS out_key, metric, 'interval=' || name || ',mtype=level,stat=largest' AS tags,
+  CAST(max(v) AS DOUBLE) AS value, ts_sec FROM f GROUP BY metric, name, ts_sec
+""",
+    "span_source": _with(EVENT_SPANS)
+    + " SELECT service_name, operation_name, start_us AS start_time_us, duration_us, error, arrival FROM espans",
+    "bad_messages": _with(EVENT_SPANS)
+    + """ SELECT 'kept' AS part, service_name, count(*) AS messages FROM espans
+WHERE event_id % 10 <> 0 AND event_id % 25 <> 1 GROUP BY service_name
+UNION ALL SELECT 'broken', NULL, count(*) FROM espans WHERE event_id % 10 = 0 OR event_id % 25 = 1""",
     "valid_points": _with(EVENT_SPANS, E_OP)
     + """ SELECT event_id, metric, event_id % 17 <> 0 AND event_id % 11 <> 0 AND event_id % 13 <> 0 AND value > 0 AS valid
 FROM points""",
@@ -282,6 +310,11 @@ SELECT trend_key, count(*) AS points, min(ms) AS min_ms,
     + ","
     + _long()
     + """) SELECT sink, out_key, count(*) AS rows FROM long, (VALUES ('columns'), ('messages')) s(sink) GROUP BY ALL""",
+    "optional_sink": "WITH long AS ("
+    + _with(EVENT_SPANS, E_ALL, _fan(), _hist("fan"), _counts("fan"))
+    + ","
+    + _long()
+    + ") SELECT 'columns' AS sink, count(*) AS rows, true AS ok FROM long UNION ALL SELECT 'broken', NULL, false",
     # A stream closes what ends before its newest event less the wait of the interval.
     "stream_counts": _with(EVENT_SPANS, E_ALL, _fan((60,)), _counts("fan"))
     + """, newest AS (SELECT max(ts_sec) AS t FROM points WHERE value > 0)

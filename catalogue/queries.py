@@ -12,6 +12,7 @@ from trendloom.functions import histogram as H
 from trendloom.functions.encoding import encode_name
 from trendloom.functions.keys import flat_tags, trend_key
 from trendloom.functions.spans import has_names, is_denied, is_error
+from trendloom.operators.aggregates import DEFAULT_AGGREGATES, Aggregate
 from trendloom.operators.cells import (
     assign_windows,
     interval_name,
@@ -22,14 +23,14 @@ from trendloom.operators.cells import (
 )
 from trendloom.operators.filters import is_valid_point, valid_spans
 from trendloom.operators.lateness import accepted_cells, late_counts
-from trendloom.operators.points import to_points, typed_points
+from trendloom.operators.points import DEFAULT_TRANSFORMERS, PointSpec, to_points, typed_points
 from trendloom.operators.quality import active_trends, quality_summary, time_in_topic
-from trendloom.operators.rules import classify
+from trendloom.operators.rules import DEFAULT_RULES, Rule, classify
 from trendloom.operators.stats import window_stats
 from trendloom.options import HistogramOptions, TrendOptions
 from trendloom.plans.trends import point_trends, span_trends, strict_span_trends, tally_of_spans
-from trendloom.sources.readers import read_points
-from trendloom.sources.sinks import Sink, to_messages, write_fanout, write_points
+from trendloom.sources.readers import broken_messages, decode_messages, read_points, read_spans
+from trendloom.sources.sinks import Sink, require_all, to_messages, write_fanout, write_points
 from trendloom.sources.tables import spans_from_events, spans_from_lineitem
 from trendloom.session import shared_folder
 from trendloom.streaming.native import count_stream, run_native_trends
@@ -124,7 +125,7 @@ def q_trend_keys(spark, sf_dir):
     return points.select("event_id", trend_key(F.col("metric"), F.col("tags")).alias("trend_key"))
 
 
-def q_classify(spark, sf_dir):
+def _mixed_points(spark, sf_dir):
     """Names that hit each rule, two rules at once, none, and a type that is not a gauge."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     case = F.col("event_id") % 8
@@ -140,8 +141,62 @@ def q_classify(spark, sf_dir):
     )
     mtype = F.when(F.col("event_id") % 5 == 0, F.lit("count")).otherwise(F.lit("Gauge"))
     metric = F.concat(name, F.lit("."), F.col("event_type"))
-    points = events.select("event_id", metric.alias("metric"), F.create_map(F.lit("mtype"), mtype).alias("tags"))
-    return classify(points).select("event_id", "metric", "agg_type")
+    return events.select("event_id", metric.alias("metric"), F.create_map(F.lit("mtype"), mtype).alias("tags"))
+
+
+def q_classify(spark, sf_dir):
+    return classify(_mixed_points(spark, sf_dir)).select("event_id", "metric", "agg_type")
+
+
+def q_own_rule(spark, sf_dir):
+    """A rule of one's own before the standard ones."""
+    rules = (Rule("received", S.AGG_COUNT, "count"), Rule("latency", S.AGG_COUNT), *DEFAULT_RULES)
+    return classify(_mixed_points(spark, sf_dir), rules).select("event_id", "metric", "agg_type")
+
+
+def q_own_transformer(spark, sf_dir):
+    """A third kind of point beside the standard ones, for slow spans only."""
+
+    def slow() -> PointSpec:
+        value = F.col("duration_us").cast("double") * 2
+        return PointSpec(F.lit("slow-latency"), value, "microseconds", tags={"slow": F.lit("yes")}, when=F.col("duration_us") > 5_000_000)
+
+    opts = TrendOptions(transformers=(*DEFAULT_TRANSFORMERS, slow), service_level=False)
+    points = _event_points(spark, sf_dir, opts).where(F.col("metric") == "slow-latency")
+    return _flat(points).select("event_id", "metric", "tags", "value", "ts_sec")
+
+
+def q_own_aggregate(spark, sf_dir):
+    """The largest value of a window, by an aggregate and a rule of one's own."""
+    largest = Aggregate("Largest", {"largest": "largest"}, lambda _: {"largest": F.max("bucket")}, lambda value, _: value)
+    opts = TrendOptions(rules=(*DEFAULT_RULES, Rule("queue", "Largest", "level")), aggregates=(*DEFAULT_AGGREGATES, largest))
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    points = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        F.concat(F.lit("queue-depth."), F.col("event_type")).alias("metric"),
+        F.create_map(F.lit("mtype"), F.lit("level")).alias("tags"),
+        (F.col("user_id") % 8 + 1).cast("double").alias("value"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("ts_sec"),
+    )
+    return _long(point_trends(points, opts))
+
+
+def q_span_source(spark, sf_dir):
+    """Spans stored as JSON and read back by the span source."""
+    folder = shared_folder(spark, "spans")
+    event_spans(spark, sf_dir).drop("event_id").write.json(folder)
+    spans = read_spans(spark, folder, format="json")
+    return spans.select("service_name", "operation_name", "start_time_us", "duration_us", is_error().alias("error"), "arrival")
+
+
+def q_bad_messages(spark, sf_dir):
+    """Messages of spans, a stated part of them damaged or empty: how many are read, and how many are left out."""
+    spans = event_spans(spark, sf_dir)
+    body = F.to_json(F.struct(*[c for c in spans.columns if c != "event_id"]))
+    sent = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("x"), body)).when(F.col("event_id") % 25 != 1, body)
+    raw = spans.select(sent.cast("binary").alias("value"))
+    kept = decode_messages(raw, S.SPAN_SCHEMA).select(F.lit("kept").alias("part"), "service_name")
+    broken = broken_messages(raw, S.SPAN_SCHEMA).select(F.lit("broken").alias("part"), F.lit(None).cast("string").alias("service_name"))
+    return kept.union(broken).groupBy("part", "service_name").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def q_valid_points(spark, sf_dir):
@@ -349,6 +404,19 @@ def q_sink_fanout(spark, sf_dir):
     return both.groupBy("sink", "out_key").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_optional_sink(spark, sf_dir):
+    """What a fan-out reports of a good sink, an optional one that fails, and one that is off."""
+    rows = span_trends(event_spans(spark, sf_dir))
+    sinks = [
+        Sink("columns", path=shared_folder(spark, "columns")),
+        Sink("broken", format="no-such-format", path=shared_folder(spark, "broken"), optional=True),
+        Sink("off", path=shared_folder(spark, "off"), enabled=False),
+    ]
+    results = write_fanout(rows, sinks)
+    require_all(results)
+    return spark.createDataFrame([(r["sink"], r["rows"], r["ok"]) for r in results], "sink string, rows long, ok boolean")
+
+
 # Streams
 
 
@@ -412,6 +480,11 @@ QUERIES: dict[str, Query] = {
     "encode_noop": _encoded("noop"),
     "trend_keys": q_trend_keys,
     "classify": q_classify,
+    "own_rule": q_own_rule,
+    "own_transformer": q_own_transformer,
+    "own_aggregate": q_own_aggregate,
+    "span_source": q_span_source,
+    "bad_messages": q_bad_messages,
     "valid_points": q_valid_points,
     "window_assign": q_window_assign,
     "count_trends_multi": q_count_trends_multi,
@@ -442,6 +515,7 @@ QUERIES: dict[str, Query] = {
     "keyed_sink": q_keyed_sink,
     "message_sink": q_message_sink,
     "sink_fanout": q_sink_fanout,
+    "optional_sink": q_optional_sink,
     "stream_counts": q_stream_counts,
     "stream_stats": q_stream_stats,
     "stream_strict": q_stream_strict,
