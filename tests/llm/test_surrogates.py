@@ -34,6 +34,39 @@ def test_found_and_replaced_in_form(text):
         assert re.sub(r"\d", "9", out) == re.sub(r"\d", "9", text)
 
 
+LONG = "Ab1" * 133 + "z"
+JWT = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P"
+WHOLE = {
+    f"token: {LONG} end": ("secret", LONG),
+    f"token: {JWT}. Then": ("secret", JWT),
+    'password="abcdefghijkl!größer" x': ("secret", "abcdefghijkl!größer"),
+    "token: johndoesurname@mail.com": ("email", "johndoesurname@mail.com"),
+    "Mrs Dvořáková said": ("person", "f|Dvořáková"),
+    "Mrs Dvor\u030ca\u0301kova\u0301 said": ("person", "f|Dvořáková"),
+    "Mr McDonald went": ("person", "m|McDonald"),
+    "Mr Łukasz Nowak, they": ("person", "m|Łukasz Nowak"),
+    "Mrs Ana O’Neill’s house": ("person", "f|Ana O’Neill"),
+    "Mr Juan Carlos García Márquez Díaz is": ("person", "m|Juan Carlos García Márquez Díaz"),
+    "Mr J.R. Tolkien F. KENNEDY was": ("person", "m|J.R. Tolkien F. KENNEDY"),
+    "господин Їжаков сказав": ("person", "m|Їжаков"),
+}
+
+
+@pytest.mark.parametrize("text", WHOLE)
+def test_entities_are_taken_whole(text):
+    (start, end, kind, value), = S.entities(text)
+    assert (kind, value) == WHOLE[text]
+    new = S.surrogate(b"k", kind, value)
+    out = text[:start] + S.in_form(kind, text[start:end], new) + text[end:]
+    assert S.entities(out) == [(start, start + len(out) - len(text) + end - start, kind, new)]
+    assert not set(re.findall(r"\w{4,}", text[start:end])) & set(re.findall(r"\w{4,}", out)) - {"mail"}
+
+
+def test_names_and_secrets_that_begin_alike_stay_apart():
+    assert [x[3] for x in S.entities(f"token: {LONG}a token: {LONG}b")] == [LONG + "a", LONG + "b"]
+    assert [x[3] for x in S.entities("Mr Smith Mrs Jones")] == ["m|Smith", "f|Jones"]
+
+
 def test_card_keeps_its_check_digit():
     def valid(c):
         return S._check_digit(c[:-1]) == c[-1]

@@ -2,7 +2,8 @@
 
 Detected entities are brought to a canonical form. Each distinct one gets a surrogate made from a keyed hash: letters become
 letters of the same script and case, digits become digits, card numbers keep their check digit, addresses stay addresses, and
-a name becomes a name of the same gender and script. The same entity gets the same surrogate in every document, and different
+a name becomes a name of the same gender and script (a Latin one where the script is neither Latin nor Cyrillic). An entity is
+taken whole: a secret up to the end of its run, a name with all its words. The same entity gets the same surrogate in every document, and different
 entities get different ones: where two would share one, or a surrogate is itself an entity of the corpus, all but the
 smallest are made again with the next counter, until none is left.
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import sys
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
@@ -35,17 +38,36 @@ FAMILY_PARTS = {
 }
 
 _TITLE = "|".join(sorted(map(re.escape, MALE_TITLES + FEMALE_TITLES), key=len, reverse=True))
-_NAME = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]{1,30}"
+
+
+def _class(*kinds: str) -> str:
+    """All characters of some Unicode categories, as the inside of a character class."""
+    ranges: list[list[int]] = []
+    for c in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(c)).startswith(kinds):
+            if ranges and ranges[-1][1] == c - 1:
+                ranges[-1][1] = c
+            else:
+                ranges.append([c, c])
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+
+
+_UPPER, _LETTER = _class("Lu", "Lt"), _class("L", "M")
+#: A word of a name: inner apostrophes and capitals belong to it, a possessive s doesn't. Between words: spaces, hyphens, initials.
+_NAME = rf"[{_UPPER}](?:(?:['’](?!s(?![{_LETTER}])))?[{_LETTER}]++)+"
+_GAP = "[ \u00a0\u2010\u2011-]"
+_PART = rf"(?!(?:{_TITLE})\b\.?[ \t][{_UPPER}])(?:[{_UPPER}]\.{_GAP}?)*{_NAME}"
+_EMAIL = r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,24}(?![\w@])"
 #: Types in the order in which they are looked for; a span belongs to the first that takes it.
 PATTERNS = {
-    "email": r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,24}(?![\w@])",
-    "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)(?P<secret>[A-Za-z0-9_\-+/=]{12,256})",
+    "email": _EMAIL,
+    "secret": rf"(?i:\b(?:token|secret|password|passwd|api[_-]?key|access[_-]?key)\b[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?)(?!{_EMAIL})(?P<secret>[A-Za-z0-9_\-+/=]{{12,}}[\w\-+/=]*(?:[.~:%@!$*^]+[\w\-+/=]+)*)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}(?![\w]|[.-]\d)",
     "phone": r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]\d{3,4}(?![\w]|[.-]\d)|(?<![\w+])\+\d{8,15}(?!\w)",
-    "person": rf"\b(?P<title>{_TITLE})\b\.?[ \t](?P<person>{_NAME}(?:[ -]{_NAME}){{0,2}})",
+    "person": rf"\b(?P<title>{_TITLE})\b\.?[ \t](?P<person>{_PART}(?:{_GAP}{_PART})*)",
 }
 _ALL = re.compile("|".join(f"(?P<{kind}_>{pattern})" for kind, pattern in PATTERNS.items()))
 #: No text without one of these has an entity. Spark checks it before a text goes to Python.
@@ -79,7 +101,7 @@ def canonical(kind: str, value: str) -> str:
         return re.sub(r"\D", "", value)
     if kind == "iban":
         return value.replace(" ", "")
-    return value.lower() if kind == "email" else value
+    return unicodedata.normalize("NFC", value) if kind == "person" else value.lower() if kind == "email" else value
 
 
 class _Stream:
@@ -105,7 +127,7 @@ def _alike(stream: _Stream, text: str) -> str:
     out = []
     for c in text:
         low = c.lower()
-        pool = DIGITS if c.isdigit() else LOWER if low in LOWER or "à" <= low <= "ÿ" else GREEK if low in GREEK else CYRILLIC if low in CYRILLIC else ""
+        pool = DIGITS if c.isdigit() else GREEK if low in GREEK else CYRILLIC if low in CYRILLIC else LOWER if c.isalpha() else ""
         new = stream.of(pool) if pool else c
         out.append(new.upper() if c.isupper() and pool != DIGITS else new)
     return "".join(out)
@@ -138,12 +160,12 @@ def surrogate(key: bytes, kind: str, value: str, counter: int = 0) -> str:
         return value[:2] + _alike(stream, value[2:]) + grown
     if kind == "person":
         gender, _, name = value.partition("|")
-        script = "cyrillic" if re.search("[А-Яа-яЁё]", name) else "latin"
+        script = "cyrillic" if re.search("[\u0400-\u052f]", name) else "latin"
         heads, middles, tails = FAMILY_PARTS[script]
         family = stream.of(heads) + "".join(stream.of(middles) for _ in range(1 + counter // 2)) + stream.of(tails)
         family += "а" if script == "cyrillic" and gender == "f" else ""
-        words = re.split(r"([ -])", name)
-        names = [family if i == len(words) - 1 else w if i % 2 else stream.of(FIRST_NAMES[script, gender]) for i, w in enumerate(words)]
+        words = re.split(rf"({_GAP}|(?<=\.))", name)
+        names = [family if i == len(words) - 1 else w if i % 2 else _alike(stream, w) if w[-1:] in ("", ".") else stream.of(FIRST_NAMES[script, gender]) for i, w in enumerate(words)]
         return f"{gender}|{''.join(names)}"
     return _alike(stream, value) + grown
 
