@@ -143,6 +143,31 @@ def test_salvage_after_damage(packed):
     assert ids_of(warc.salvage(lost_middle)) == [0, 2]
 
 
+def test_salvage_inside_a_member():
+    """One bad record in a member of many costs that record alone."""
+    records = archive()
+    for hit in range(6):
+        some = list(records)
+        some[hit] = some[hit].replace(b"<p>", b"<q>", 1)
+        for data, n in ((warc.member(b"".join(some)), 1), (b"junk" + warc.member(b"".join(some)) + warc.member(records[0]), 2)):
+            found = list(warc.salvage(data))
+            assert ids_of(found)[:5] == [i for i in range(6) if i != hit] and len(ids_of(found)) == 4 + n
+            start = sum(map(len, records[:hit]))
+            assert [x[3] for x in found if x[0] == "gap"][-1].endswith(f"inflated bytes {start} to {start + len(records[hit])}")
+    assert [x[0] for x in warc.salvage(warc.member(b""))] == ["gap"]
+    assert list(warc.salvage(b"WARC/1.1\r\nWARC-Type: response")) == [("gap", 0, 29, "damaged record")]
+
+
+def test_long_headers_are_read_and_lost_records_are_errors(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "ü" * 400_000, "a"), (2, "u", "b")], "page_id long, url string, html string")
+    got = {r.page_id: len(r.url) for r in warc.through_archives(spark, pages).collect()}
+    assert got == {1: 6 * 400_000, 2: 1}
+    files = warc.write_archives(pages, str(tmp_path / "w"))
+    assert warc.read_archives(files, strict=True).count() == 2 + files.count()
+    with pytest.raises(Exception, match="records were written"):
+        warc.read_archives(files.selectExpr("path", "records + 1 AS records"), strict=True).count()
+
+
 def test_archives_awkward(spark, tmp_path):
     long = "x" * 1200
     rows = [(1, "u", long), (2, None, long), (3, "a\r\nb: c", long), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (None, "u", long), (7, "ü", "é" * 600), (8, "ü", "é" * 600)]

@@ -2,7 +2,7 @@
 
 Each record is a gzip member of its own. The reader checks every member (its CRC, its WARC header, its length, its block
 digest). Where a check fails, it looks for the next place at which a whole valid record starts, a gzip member or a version
-line, goes on from there, and reports the bytes between as a gap.
+line, goes on from there, and reports the bytes between as a gap. Inside a valid member it does the same with the inflated bytes.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ SHARED_FROM = 1000
 #: Uncompressed bytes after which a file ends, and parts a large group of copies is dealt to.
 FILE_BYTES, SALTS = 64 << 20, 32
 
+#: Record types that a page can have.
+PAGES = ("response", "revisit")
+
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -85,69 +88,81 @@ def _inflate(data: memoryview, at: int) -> tuple[bytes, int] | None:
     return (b"".join(parts), min(place, len(data)) - len(unpacker.unused_data)) if unpacker.eof else None
 
 
-def _parse(data: bytes | memoryview, at: int) -> tuple[dict[str, str], bytes, int] | None:
+def _parse(data: bytes, at: int) -> tuple[dict[str, str], bytes, int] | None:
     """Headers, block and end of the record whose version line is at ``at``; None if any check fails."""
-    view = memoryview(data)
-    if not _VERSION.match(view[at : at + 10]):
-        return None
-    stop, window = -1, 1 << 12
-    while stop < 0 and window <= 1 << 20:
-        stop = bytes(view[at : at + window]).find(b"\r\n\r\n")
-        if at + window >= len(view):
-            break
-        window *= 4
-    if stop < 0:
+    if not _VERSION.match(data, at):
         return None
-    headers = {}
-    for line in bytes(view[at + 10 : at + stop]).decode("utf-8", "replace").split("\r\n"):
-        name, colon, value = line.partition(":")
+    headers, line_at = {}, at + 10
+    while (stop := data.find(b"\r\n", line_at)) != line_at:
+        name, colon, value = data[line_at : max(stop, line_at)].decode("utf-8", "replace").partition(":")
         if not colon:
             return None
         headers[name.strip().lower()] = value.strip()
+        line_at = stop + 2
     if not re.fullmatch(r"\d{1,18}", headers.get("content-length", "")) or "warc-type" not in headers:
         return None
-    start = at + stop + 4
+    start = stop + 2
     end = start + int(headers["content-length"])
-    if bytes(view[end : end + 4]) != b"\r\n\r\n":
+    if data[end : end + 4] != b"\r\n\r\n":
         return None
-    block = bytes(view[start:end])
+    block = data[start:end]
     digest = headers.get("warc-block-digest", "")
     if digest.startswith("sha1:") and digest != _sha1(block):
         return None
     return headers, block, end + 4
 
 
+def _inside(inner: bytes) -> Iterator[tuple[int, int, tuple[dict[str, str], bytes] | None]]:
+    """``(start, end, (headers, block))`` of the records in a member's inflated bytes, and ``(start, end, None)`` of the gaps."""
+    at, lost = 0, -1
+    while at < len(inner):
+        parsed = _parse(inner, at)
+        if parsed:
+            if lost >= 0:
+                yield lost, at, None
+                lost = -1
+            yield at, parsed[2], parsed[:2]
+            at = parsed[2]
+            continue
+        lost = at if lost < 0 else lost
+        following = _VERSION.search(inner, at + 1)
+        at = following.start() if following else len(inner)
+    if lost >= 0 or not inner:
+        yield max(lost, 0), len(inner), None
+
+
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """``("record", start, end, (headers, block))`` and ``("gap", start, end, reason)``, covering all of ``data`` in order."""
+    """``("record", start, end, (headers, block))`` and ``("gap", start, end, reason)``, covering all of ``data`` in order.
+
+    All records and gaps of a valid member have the member's place; the reason of such a gap says which inflated bytes it is.
+    """
     view, at, lost, why = memoryview(data), 0, -1, ""
     while at < len(data):
-        found, reason = [], "no record starts here"
+        found, reason = None, "no record starts here"
         if data[at : at + 3] == b"\x1f\x8b\x08":
             inflated = _inflate(view, at)
             reason = "damaged member"
             if inflated:
-                inner, end, place = inflated[0], inflated[1], 0
-                while place < len(inner) and (parsed := _parse(inner, place)):
-                    found.append(parsed[:2])
-                    place = parsed[2]
-                if place < len(inner):
-                    found, reason = [], "damaged record in a whole member"
-        elif _VERSION.match(view[at : at + 10]):
-            parsed = _parse(view, at)
+                found, end = _inside(inflated[0]), inflated[1]
+        elif _VERSION.match(data, at):
+            parsed = _parse(data, at)
             reason = "damaged record"
             if parsed:
-                found, end = [parsed[:2]], parsed[2]
+                found, end = [(at, parsed[2], parsed[:2])], parsed[2]
         if found:
             if lost >= 0:
                 yield "gap", lost, at, why
                 lost = -1
-            for headers, block in found:
-                yield "record", at, end, (headers, block)
+            for start, stop, parsed in found:
+                if parsed:
+                    yield "record", at, end, parsed
+                else:
+                    yield "gap", at, end, f"damaged record in a whole member: inflated bytes {start} to {stop}"
             at = end
             continue
         if lost < 0:
             lost, why = at, reason
-        following = _START.search(view, at + 1)
+        following = _START.search(data, at + 1)
         at = following.start() if following else len(data)
     if lost >= 0:
         yield "gap", lost, len(data), why
@@ -196,12 +211,16 @@ def write_archives(pages: DataFrame, folder: str, date: str = "2000-01-01T00:00:
 
 
 def _records(rows: Iterator[tuple]) -> Iterable[tuple]:
-    for (path,) in rows:
+    for path, written in rows:
+        pages = 0
         for kind, start, end, found in salvage(read_file(path)):
             if kind == "gap":
+                if written is not None:
+                    raise ValueError(f"{path}, bytes {start} to {end}: {found}")
                 yield path, start, end, found, None, None, None, None, None, None, None
                 continue
             headers, block = found
+            pages += headers["warc-type"] in PAGES
             http, _, body = block.partition(b"\r\n\r\n")
             length = re.search(rb"(?im)^content-length:\s*(\d{1,18})\s*$", http)
             digest = headers.get("warc-payload-digest", "")
@@ -211,11 +230,17 @@ def _records(rows: Iterator[tuple]) -> Iterable[tuple]:
                 path, start, end, None, headers["warc-type"], page_of(headers.get("warc-record-id")), headers.get("warc-target-uri"),
                 page_of(headers.get("warc-refers-to")), digest, int(length[1]) if length else None, kept,
             )
+        if written is not None and pages != written:
+            raise ValueError(f"{path}: {written} records were written and {pages} read")
 
 
-def read_archives(files: DataFrame) -> DataFrame:
-    """Every record and every gap of the files listed in ``path``: a gap has a ``gap`` text and no record columns."""
-    spread = files.select("path").repartition(max(1, files.sparkSession.sparkContext.defaultParallelism), "path")
+def read_archives(files: DataFrame, strict: bool = False) -> DataFrame:
+    """Every record and every gap of the files listed in ``path``: a gap has a ``gap`` text and no record columns.
+
+    ``strict`` is for files that must be whole: a gap, or another number of pages than ``records`` says, is an error.
+    """
+    written = F.col("records") if strict else F.lit(None).cast("long")
+    spread = files.select("path", written.alias("written")).repartition(max(1, files.sparkSession.sparkContext.defaultParallelism), "path")
     return arrow_map(
         spread, _records,
         "path string, start long, end long, gap string, record_type string, page_id long, url string, refers_to long, payload_digest string, payload_bytes long, payload binary",
@@ -224,7 +249,7 @@ def read_archives(files: DataFrame) -> DataFrame:
 
 def pages_of(records: DataFrame) -> DataFrame:
     """The page records among ``records``."""
-    return records.where("gap IS NULL AND record_type IN ('response', 'revisit')")
+    return records.where(F.col("gap").isNull() & F.col("record_type").isin(*PAGES))
 
 
 def gaps_of(records: DataFrame) -> DataFrame:
@@ -233,4 +258,5 @@ def gaps_of(records: DataFrame) -> DataFrame:
 
 
 def through_archives(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    return pages_of(read_archives(write_archives(pages, shared_folder(spark, "warcs"))))
+    """The page records of ``pages``, written and read again; a page that can't be read again is an error."""
+    return pages_of(read_archives(write_archives(pages, shared_folder(spark, "warcs")), strict=True))
