@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.test_contracts import awkward, rows_of, source
 from trendloom.llm import surrogates as S
@@ -106,6 +107,19 @@ def test_query(spark, sf_dir):
     assert len(set(mapping.values())) == len(mapping) and KEY
 
 
+def test_hint_passes_every_text_with_an_entity(spark):
+    """Numbers in other digits, keys in other cases, titles of other scripts: what Spark lets by has no entity."""
+    texts = [*CASES, *WHOLE, "PAS\u017fWORD=abcdefghijklm", "api-\u212aey: abcdefghijklm", "\u212aey", "г-жа Ольга", "no number", ""]
+    for zero in ("\u0660", "\u0966", "\uff10", "\U0001d7ce", "\U00011f50", "\U0001e4f0"):
+        digits = "".join(chr(ord(zero) + i) for i in range(10))
+        texts += [t.translate(str.maketrans("0123456789", digits)) for t in ("no 078-05-1120.", "+1 (487) 555-7209", "pay 4111 1111 1111 1111 now")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hinted = {r.doc_id for r in docs.where(F.col("text").rlike(S.HINT)).collect()}
+    assert all(S.entities(t) == [] for i, t in enumerate(texts) if i not in hinted) and len(hinted) == len(texts) - 2
+    got = {r.row.doc_id: (r.n_entities, r.new_text) for r in S.pseudonymised(docs, b"k").collect()}
+    assert all(got[i][0] == len(S.entities(t)) and (got[i][0] == 0) == (got[i][1] == t) for i, t in enumerate(texts))
+
+
 def test_awkward(spark):
     out = S.without_personal_data(awkward(spark), b"k")
     assert out.columns == awkward(spark).columns

@@ -70,8 +70,9 @@ PATTERNS = {
     "person": rf"\b(?P<title>{_TITLE})\b\.?[ \t](?P<person>{_PART}(?:{_GAP}{_PART})*)",
 }
 _ALL = re.compile("|".join(f"(?P<{kind}_>{pattern})" for kind, pattern in PATTERNS.items()))
-#: No text without one of these has an entity. Spark checks it before a text goes to Python.
-HINT = rf"[0-9@]|(?i:token|secret|passw|key)|(?:{_TITLE})\b"
+#: No text without one of these has an entity. Spark checks it before a text goes to Python. It is at least as wide as Python's
+#: patterns: any decimal digit, and characters that Java's Unicode doesn't know yet; keys by Unicode case; titles without ``\b``.
+HINT = rf"[\p{{Nd}}\p{{Cn}}@]|(?iu:token|secret|passw|key)|{_TITLE}"
 
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GREEK, CYRILLIC = "αβγδεζηθικλμνξοπρστυφχψω", "абвгдежзийклмнопрстуфхцчшщыэюя"
