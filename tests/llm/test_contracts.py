@@ -86,6 +86,15 @@ def test_op2(spark, sf_dir, size):
     assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, (_, c) in want.items() if d == c)
 
 
+def test_copies_by_id_and_text(spark):
+    """A text of its own stays, whatever other rows of its id are; rows alike in id and text stay or go together."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "zab")
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, b), (7, c), (-1, c), (9, None), (9, ""), (None, a)]
+    left = minhash.without_copies(awkward(spark, rows)).select("doc_id", "text").collect()
+    want = [(3, a), (5, b), (5, b), (-1, c), (9, None), (9, ""), (None, a)]
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, want))
+
+
 def test_op2_chain_and_groups(spark):
     """A chain of neighbours that are alike though its ends are not, and a large group of near copies."""
     words = [f"w{i}" for i in range(300)]

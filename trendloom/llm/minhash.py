@@ -263,10 +263,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, the one with the smallest id.
 
-    Rows without an id stay. Of rows that repeat an id, all that have its greatest text stay or go together; a row with
-    another text goes. Columns stay as they are.
+    Rows without an id stay. Rows that repeat an id are judged by their texts: each distinct id and text is a document of its
+    own, and its rows stay or go together. Columns stay as they are.
     """
-    gone = near_duplicates(docs, key, text, size, percent).where("NOT kept").select(F.col("doc_id").alias("gone"))
-    marked = carried(docs, key=column(key).cast("long"))
-    left = marked.join(gone, marked["key"] == gone["gone"], "left_anti")
-    return left.select("row.*")
+    body = column(text).cast("string")
+    marked = carried(docs, key=column(key).cast("long"), digest=F.sha2(F.coalesce(body, F.lit("")).cast("binary"), 256))
+    if not docs.select(column(key).cast("long").alias("key")).where("key IS NOT NULL").groupBy("key").count().where("count > 1").limit(1).count():
+        gone = near_duplicates(docs, key, text, size, percent).where("NOT kept").select(F.col("doc_id").alias("key"))
+        return marked.join(gone, "key", "left_anti").select("row.*")
+    known = marked.where("key IS NOT NULL").groupBy("key", "digest").agg(F.max(F.col("row").getField(text).cast("string")).alias("body"))
+    # Numbers in the order of the ids, so that the smallest number of a group is of its smallest id.
+    units = known.repartitionByRange("key", "digest").sortWithinPartitions("key", "digest").withColumn("unit", F.monotonically_increasing_id())
+    units = settled(units, "units", compression="zstd")
+    lost = near_duplicates(units, "unit", "body", size, percent).where("NOT kept").select(F.col("doc_id").alias("unit"))
+    gone = units.select("unit", "key", "digest").join(lost, "unit", "left_semi").select("key", "digest")
+    return marked.join(gone, ["key", "digest"], "left_anti").select("row.*")
