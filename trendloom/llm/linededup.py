@@ -1,5 +1,8 @@
 """Repeated lines, dropped by levelled sorted runs of line hashes. DataFrame operations only.
 
+One plain group-by over all lines decides which of them are in enough documents; only places of those enter the runs, which
+name their owners.
+
 Runs hold the hashes of lines that have an owner, sorted by hash. Each new batch of lines is merge-anti-joined with the runs;
 what is left is new, gets its owner, and becomes a run of its own. When a level holds enough runs they are merged into one
 run of the next level, so a batch meets few runs, however many batches came before.
