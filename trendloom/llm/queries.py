@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import bpe, linededup, minhash, packing, quality, runs, sharding, surrogates, tokenfile, topk, warc
+from trendloom.llm import bpe, lexical, linededup, minhash, packing, quality, runs, sharding, surrogates, tokenfile, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,10 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(_documents(spark, sf_dir))
 
 
+def op13_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), _documents(spark, sf_dir), k=10)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -91,6 +95,7 @@ QUERIES: dict[str, Query] = {
         op9_surrogates,
         op10_packing,
         op12_runs,
+        op13_lexical,
     )
 }
 
@@ -127,4 +132,24 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op13_lexical": r"""
+        WITH t AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+        ), tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY doc_id, term),
+        d AS (SELECT doc_id, sum(tf) AS n FROM tf GROUP BY doc_id),
+        c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS len FROM d),
+        q AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ), w AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+            FROM tf, c GROUP BY term, docs
+        ), s AS (
+            SELECT q.item_id, tf.doc_id,
+                   CAST(sum(w.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 8 * (10 + (90 * CAST(d.n AS BIGINT) * docs) // len)))) AS BIGINT) AS score
+            FROM q JOIN tf USING (term) JOIN w USING (term) JOIN d USING (doc_id), c GROUP BY q.item_id, tf.doc_id
+        ), r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n FROM s WHERE score > 0)
+        SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM r WHERE n <= 10
+    """,
 }
