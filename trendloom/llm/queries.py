@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendloom.llm import bpe, lexical, linededup, minhash, packing, quality, runs, sharding, surrogates, tokenfile, topk, warc
+from trendloom.llm import bpe, htmltext, lexical, linededup, minhash, packing, quality, runs, sharding, surrogates, tokenfile, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +73,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end=1)
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digests(_documents(spark, sf_dir))
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_surrogates,
         op10_packing,
+        op11_main_text,
         op12_runs,
         op13_lexical,
     )
