@@ -341,4 +341,61 @@ WHERE win + seconds <= t - 60""",
     )
     + ","
     + _long(),
+    "own_keys": _with(EVENT_SPANS, E_ALL, _fan((900, 3600)), _hist("fan"), _counts("fan")) + "," + _long(),
+    "stream_keyed": _with(
+        EVENT_SPANS,
+        E_ALL,
+        _fan(),
+        FLOOR,
+        _hist("judged", "accepted AND closed"),
+        _counts("judged", "accepted AND closed"),
+    )
+    + ","
+    + _long(),
+    "stream_restart": _with(
+        EVENT_SPANS,
+        E_OP,
+        _fan(),
+        FLOOR,
+        _hist("judged", "accepted AND closed"),
+        _counts("judged", "accepted AND closed"),
+    )
+    + ","
+    + _long(),
+    "stream_keyed_late": _with(EVENT_SPANS, E_ALL, _fan(), FLOOR)
+    + """ SELECT trend_key, interval_name AS interval, count(*) AS late FROM judged WHERE NOT accepted GROUP BY ALL""",
+    "stream_open": _with(EVENT_SPANS, E_ALL, _fan(), FLOOR)
+    + """ SELECT trend_key, interval_name AS interval, win + seconds AS ts_sec, count(*) AS points,
+  CAST(sum(CAST(trunc(value) AS BIGINT)) AS BIGINT) AS total FROM judged WHERE accepted AND NOT closed GROUP BY ALL""",
+    # A minute closes a minute late; a longer window when a later minute has closed.
+    "stream_rolled": _with(
+        EVENT_SPANS,
+        E_ALL,
+        _fan(),
+        "newest AS (SELECT max(ts_sec // 60 * 60) AS t FROM points)",
+        "last AS (SELECT max(ts_sec // 60 * 60) AS c FROM points, newest WHERE ts_sec // 60 * 60 + 120 <= t)",
+        "done AS (SELECT fan.* FROM fan, newest, last WHERE CASE WHEN seconds = 60 THEN win + 120 <= t ELSE win + seconds <= c END)",
+        _hist("done"),
+        _counts("done"),
+    )
+    + ","
+    + _long(),
+    "stream_span_app": _with(EVENT_SPANS, f"allowed AS (SELECT * FROM espans WHERE NOT {DENIED})", _points("allowed"))
+    + " SELECT trend_key, metric, tags, value, ts_sec, arrival FROM points",
+    # The watermark of a part is the newest valid point of the parts before it, less a minute.
+    "stream_late": _with(EVENT_SPANS, E_ALL)
+    + """, b AS (SELECT min(arrival) AS low, (max(arrival) - min(arrival)) // 4 + 1 AS width FROM espans),
+p AS (SELECT points.*, (arrival - low) // width AS part, value > 0 AS valid FROM points, b),
+m AS (SELECT part, max(ts_sec) AS newest FROM p WHERE valid GROUP BY part),
+w AS (SELECT p.*, coalesce((SELECT max(newest) FROM m WHERE m.part < p.part), 0) - 60 AS mark,
+  (SELECT max(newest) FROM m) - 60 AS last FROM p),
+j AS (SELECT *, ts_sec // 60 * 60 + 60 AS ends FROM w WHERE valid)
+SELECT 'points.points' AS measure, count(*) AS value FROM p
+UNION ALL SELECT 'points.invalid_points', count(*) FILTER (NOT valid) FROM p
+UNION ALL SELECT 'points.success_points', count(*) FILTER (metric = 'success-span') FROM p
+UNION ALL SELECT 'points.failure_points', count(*) FILTER (metric = 'failure-span') FROM p
+UNION ALL SELECT 'points.duration_points', count(*) FILTER (metric = 'duration') FROM p
+UNION ALL SELECT 'late', count(*) FILTER (ends <= mark) FROM j
+UNION ALL SELECT 'closed', count(*) FILTER (ends > mark AND ends <= last) FROM j
+UNION ALL SELECT 'open', count(*) FILTER (ends > mark AND ends > last) FROM j""",
 }

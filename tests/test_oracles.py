@@ -1,8 +1,7 @@
 import pytest
 
-from __spark_entry__ import entry
+from __spark_entry__ import QUERIES, entry
 from catalogue.oracles import ORACLES
-from catalogue.queries import QUERIES
 from tests.compare import compare, tables
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters with a meaning inside a key, and what stands for them. '%' goes first.
-ESCAPES = (("%", "%25"), (",", "%2C"), ("=", "%3D"))
+ESCAPES = (("%", "%25"), (",", "%2C"), ("=", "%3D"), ("\x01", "%01"))
 
 
 def escape(text: Column) -> Column:
@@ -59,6 +59,24 @@ def known_tags_key(metric: Column, tags: Mapping[str, Column | str]) -> Column:
     return F.concat(*parts)
 
 
+#: Between a key of a point's own and the one that describes it; the second never holds it unescaped.
+DESCRIBED_BY = "\x01"
+
+
+def describing_key(own: Column, metric: Column, tags: Column) -> Column:
+    """The own key, with the key of metric and tags appended where that is another one; null without an own key.
+
+    Streams group by it, as they have no place for a dictionary: points of one own key and one description are one trend.
+    """
+    derived = trend_key(metric, tags)
+    return F.when(own == derived, own).when(own.isNotNull(), F.concat(own, F.lit(DESCRIBED_BY), F.coalesce(derived, F.lit(""))))
+
+
+def description(key: Column) -> Column:
+    """The part of a key that describes its trend."""
+    return F.substring_index(key, DESCRIBED_BY, -1)
+
+
 def key_metric(key: Column) -> Column:
     return unescape(F.substring_index(key, ",", 1))
 

@@ -59,7 +59,7 @@ def point_tags(
     return tags
 
 
-def _tag_map(tags: Mapping[str, Column | str]) -> Column:
+def tag_map(tags: Mapping[str, Column | str]) -> Column:
     pairs = []
     for name, value in tags.items():
         pairs += [F.lit(name), F.lit(value) if isinstance(value, str) else value]
@@ -107,7 +107,7 @@ def typed_points(spans: DataFrame, opts: TrendOptions | None = None, keep: Seque
             values.append(F.col(f"value_{i}"))
             types.append(F.col(f"agg_type_{i}"))
             keys.append(known_tags_key(F.col(f"metric_{i}"), named))
-            tags.append(_tag_map(named))
+            tags.append(tag_map(named))
             wanted.append(F.lit(True) if spec.when is None else F.col(f"when_{i}"))
 
     rows = spans.select(*base).withColumn("variant", F.explode(F.array(*[F.lit(i) for i in range(len(keys))])))

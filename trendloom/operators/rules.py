@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendloom import schema as S
-from trendloom.functions.keys import trend_key
+from trendloom.functions.keys import describing_key, trend_key
 
 
 @dataclass(frozen=True)
@@ -67,3 +67,9 @@ def with_trend_key(points: DataFrame) -> DataFrame:
     """Adds ``trend_key`` to points that came without one, be it the column or its value."""
     derived = trend_key(F.col("metric"), F.col("tags"))
     return points.withColumn("trend_key", F.coalesce("trend_key", derived) if "trend_key" in points.columns else derived)
+
+
+def with_describing_key(points: DataFrame) -> DataFrame:
+    """The same, with keys of their own followed by what describes the trend; for streams."""
+    keyed = with_trend_key(points)
+    return keyed.withColumn("trend_key", describing_key(F.col("trend_key"), F.col("metric"), F.col("tags")))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom import schema as S
-from trendloom.functions.keys import key_metric, key_tags
+from trendloom.functions.keys import description, key_metric, key_tags
 from trendloom.operators.cells import SERIES, interval_name
 from trendloom.options import TrendOptions
 
@@ -43,12 +43,8 @@ def window_stats(cells: DataFrame, opts: TrendOptions) -> DataFrame:
     return wide.select(*WINDOW_KEYS, "points", *stats)
 
 
-def stat_rows(wide: DataFrame, opts: TrendOptions) -> DataFrame:
-    """One row per statistic, in the columns of POINT_SCHEMA; the timestamp is the window end.
-
-    Metric and tags are read back from the trend key. ``out_key`` is the trend key itself: it names
-    the trend, not the statistic.
-    """
+def offered_stats(opts: TrendOptions) -> Column:
+    """The statistics of a window as an array of names and values, null for an aggregate that is not known."""
     offered: Column = F
     for aggregate in opts.aggregates:
         rows = [
@@ -56,15 +52,24 @@ def stat_rows(wide: DataFrame, opts: TrendOptions) -> DataFrame:
             for stat, name in aggregate.stats.items()
         ]
         offered = offered.when(F.col("agg_type") == aggregate.name, F.array(*rows))
+    return offered
+
+
+def stat_rows(wide: DataFrame, opts: TrendOptions) -> DataFrame:
+    """One row per statistic, in the columns of POINT_SCHEMA; the timestamp is the window end.
+
+    Metric and tags are read back from the trend key, or from the part of it that describes the trend, which is also
+    ``out_key``: it names the trend, not the statistic. ``operators.dictionary`` is the way for keys that don't describe.
+    """
     # The outer form keeps Spark from deriving a filter over the whole array and repeating its expressions.
     known = wide.where(F.col("agg_type").isin([a.name for a in opts.aggregates]))
-    described = known.select(
-        F.col("trend_key").alias("out_key"),
-        key_metric(F.col("trend_key")).alias("metric"),
-        key_tags(F.col("trend_key")).alias("own_tags"),
+    described = known.withColumn("out_key", description(F.col("trend_key"))).select(
+        "out_key",
+        key_metric(F.col("out_key")).alias("metric"),
+        key_tags(F.col("out_key")).alias("own_tags"),
         interval_name(F.col("seconds"), opts.intervals).alias("interval"),
         (F.col("win_start") + F.col("seconds")).alias("ts_sec"),
-        offered.alias("offered"),
+        offered_stats(opts).alias("offered"),
     )
     long = described.select("*", F.inline_outer("offered").alias("stat", "value"))
     tags = _aggregated_tags(F.col("own_tags"), F.col("interval"), F.col("stat"))

@@ -9,6 +9,7 @@ state partitions as it has buckets.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trendloom import schema as S
 from trendloom.operators.cells import SERIES, prepared_points
+from trendloom.operators.rules import with_describing_key
 from trendloom.options import TrendOptions
 from trendloom.plans.trends import trends_from_cells
 from trendloom.schema import Interval
@@ -26,7 +28,7 @@ from trendloom.sources.sinks import Sink, require_all, write_fanout
 def _windowed(points: DataFrame, interval: Interval, opts: TrendOptions, delay: int | None) -> DataFrame:
     """Cells of one interval with their ``window``, closed by the watermark."""
     wait = interval.extra_windows * interval.seconds if delay is None else delay
-    timed = with_event_time(prepared_points(points, opts)).withWatermark("event_ts", f"{wait} seconds")
+    timed = with_event_time(prepared_points(with_describing_key(points), opts)).withWatermark("event_ts", f"{wait} seconds")
     return timed.groupBy(F.window("event_ts", f"{interval.seconds} seconds"), *SERIES, "bucket").agg(
         F.count(F.lit(1)).alias("n"), F.try_sum("amount").alias("total")
     )
@@ -86,9 +88,7 @@ def batch_sinks(sinks: Sequence[Sink], batch_id: int, label: str = "") -> list[S
             placed.append(sink)
             continue
         path = f"{sink.path}/{label}batch_id={batch_id}"
-        placed.append(
-            Sink(sink.name, sink.format, path, sink.options, sink.enabled, "overwrite", sink.as_messages, sink.partition_by)
-        )
+        placed.append(replace(sink, path=path, mode="overwrite"))
     return placed
 
 

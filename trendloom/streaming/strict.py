@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from trendloom.operators.cells import tally_points
 from trendloom.operators.lateness import judged_cells
-from trendloom.operators.rules import with_trend_key
+from trendloom.operators.rules import with_describing_key
 from trendloom.options import TrendOptions
 from trendloom.plans.trends import trends_from_cells
 from trendloom.schema import CELL_SCHEMA
@@ -46,7 +46,7 @@ def judge_batch(batch: DataFrame, batch_id: int, checkpoint: str, opts: TrendOpt
     carried = None
     if batch_id > 0:
         carried = _read_slot(spark, _slot(checkpoint, batch_id - 1)).where(~F.col("closed"))
-    accepted = judged_cells(tally_points(with_trend_key(batch), opts), opts, carried).where("accepted")
+    accepted = judged_cells(tally_points(with_describing_key(batch), opts), opts, carried).where("accepted")
     slot = _slot(checkpoint, batch_id)
     stamped = accepted.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
     stamped.select(*[f.name for f in SLOT_SCHEMA.fields]).write.mode("overwrite").partitionBy("closed").parquet(slot)
