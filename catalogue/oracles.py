@@ -84,7 +84,8 @@ judged AS (SELECT *, win >= coalesce(floor_before, w0) AS accepted, win < floor_
 
 
 def _hist(
-    source: str, where: str = "true", rank: str = "half_up", unit: int = 1000, limit: int = 1800000, bits: int = 8
+    source: str, where: str = "true", rank: str = "half_up", unit: int = 1000, limit: int = 1800000, bits: int = 8,
+    percents: tuple[int, ...] = (50, 95, 99),
 ) -> str:
     """Histogram statistics per trend window, value by value."""
     def rank_of(p: int) -> str:
@@ -92,7 +93,7 @@ def _hist(
             return f"greatest(1, CAST(floor({p / 100.0}::DOUBLE * n + 0.5) AS BIGINT))"
         return f"greatest(1, ({p} * n + 99) // 100)"
 
-    picks = ", ".join(f"min(CASE WHEN rn >= {rank_of(p)} THEN lo END) * {unit} AS p{p}" for p in (50, 95, 99))
+    picks = ", ".join(f"min(CASE WHEN rn >= {rank_of(p)} THEN lo END) * {unit} AS p{p}" for p in percents)
     return f"""
 h0 AS (SELECT trend_key, seconds, interval_name, win,
          least(CAST(trunc(value) AS BIGINT), {limit} * {unit}) // {unit} AS v
@@ -341,6 +342,12 @@ WHERE win + seconds <= t - 60""",
     )
     + ","
     + _long(),
+    "stored_trends": _with(EVENT_SPANS, E_ALL, _fan(), _hist("fan"), _counts("fan")) + "," + _long(),
+    "packed_percentiles": _with(EVENT_SPANS, E_ALL, _fan(), _hist("fan", percents=(10, 50, 95, 99, 100)))
+    + " SELECT trend_key, interval_name AS interval, win + seconds AS ts_sec, points, p10, p50, p95, p99, p100 FROM hist",
+    "active_windows": _with(EVENT_SPANS, E_ALL, _fan())
+    + """ SELECT CASE WHEN metric = 'duration' THEN 'Histogram' ELSE 'Count' END AS agg_type, interval_name AS interval,
+  win + seconds AS ts_sec, count(DISTINCT trend_key) AS trends FROM fan GROUP BY ALL""",
     "own_keys": _with(EVENT_SPANS, E_ALL, _fan((900, 3600)), _hist("fan"), _counts("fan")) + "," + _long(),
     "stream_keyed": _with(
         EVENT_SPANS,

@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from catalogue.queries import DENY, Query, _long, _named, event_spans
 from trendloom import schema as S
 from trendloom.functions.keys import flat_tags
-from trendloom.operators.cells import interval_name
+from trendloom.operators.active import active_in_windows, merged_bitmaps, numbered_trends, trend_bitmaps
+from trendloom.operators.cells import interval_name, roll_up, span_cells
 from trendloom.operators.filters import valid_spans
+from trendloom.operators.packed import merged, packed, percentiles
 from trendloom.operators.points import typed_points
 from trendloom.operators.quality import observe_points
 from trendloom.options import TrendOptions
 from trendloom.plans.trends import point_trends
-from trendloom.session import shared_folder
+from trendloom.session import shared_folder, written
 from trendloom.sources.readers import read_points, read_spans
 from trendloom.sources.sinks import Sink, write_points
+from trendloom.sources.stored import store_points, stored_trends
 from trendloom.streaming.app import points_of_spans, start_span_app
 from trendloom.streaming.keyed import keyed_open_windows, run_keyed_trends
 from trendloom.streaming.measures import balance, measures_of_query
@@ -145,6 +148,35 @@ def q_own_keys(spark, sf_dir):
     return _long(point_trends(read_points(spark, folder), TrendOptions(intervals=S.INTERVALS[2:])))
 
 
+def q_stored_trends(spark, sf_dir):
+    """Trends of points stored in a bucketed table, at all intervals and levels."""
+    folder = shared_folder(spark, "stored")
+    table = "points_" + folder.rsplit("-", 1)[1]
+    points = points_of_spans(event_spans(spark, sf_dir))
+    store_points(points.withColumn("trend_key", F.md5("trend_key")), table, folder, buckets=8)
+    return _long(stored_trends(spark.table(table)))
+
+
+def _stored_minutes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    opts = TrendOptions()
+    return roll_up(span_cells(valid_spans(event_spans(spark, sf_dir)), opts), S.INTERVALS[:1])
+
+
+def q_packed_percentiles(spark, sf_dir):
+    """Percentiles chosen when packed minutes are read back and merged."""
+    minutes = written(packed(_stored_minutes(spark, sf_dir)), "packed")
+    asked = percentiles(merged(minutes, [i.seconds for i in S.INTERVALS]), (10, 50, 95, 99, 100))
+    return _named(asked, "points", "p10", "p50", "p95", "p99", "p100")
+
+
+def q_active_windows(spark, sf_dir):
+    """Distinct trends of every window, by merging the bitmaps of its minutes."""
+    minutes = written(_stored_minutes(spark, sf_dir), "minutes")
+    bitmaps = written(trend_bitmaps(minutes, numbered_trends(minutes)), "bitmaps")
+    active = active_in_windows(merged_bitmaps(bitmaps, [i.seconds for i in S.INTERVALS]))
+    return active.select("agg_type", interval_name(F.col("seconds"), S.INTERVALS).alias("interval"), (F.col("win_start") + F.col("seconds")).alias("ts_sec"), "trends")
+
+
 STREAMS: dict[str, Callable[[SparkSession, str], DataFrame] | Query] = {
     "stream_keyed": q_stream_keyed,
     "stream_restart": q_stream_restart,
@@ -154,4 +186,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame] | Query] = {
     "stream_span_app": q_stream_span_app,
     "stream_late": q_stream_late,
     "own_keys": q_own_keys,
+    "stored_trends": q_stored_trends,
+    "packed_percentiles": q_packed_percentiles,
+    "active_windows": q_active_windows,
 }

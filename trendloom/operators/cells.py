@@ -163,10 +163,10 @@ def span_cells(spans: DataFrame, opts: TrendOptions) -> DataFrame:
     return grain_cells(tally_spans(spans, opts))
 
 
-def roll_up(cells: DataFrame, intervals: Sequence[Interval]) -> DataFrame:
-    """Cells of the grain to cells of every interval, as in CELL_SCHEMA."""
+def roll_up(cells: DataFrame, intervals: Sequence[Interval], keep: Sequence[str] = ()) -> DataFrame:
+    """Cells of the grain to cells of every interval, as in CELL_SCHEMA. ``keep`` names columns that windows share."""
     return (
         assign_windows(cells, intervals, "grain_start")
-        .groupBy(*SERIES, "seconds", "win_start", "bucket")
+        .groupBy(*SERIES, *keep, "seconds", "win_start", "bucket")
         .agg(F.sum("n").alias("n"), F.try_sum("total").alias("total"))
     )

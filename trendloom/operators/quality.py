@@ -14,6 +14,11 @@ from trendloom.operators.filters import is_valid_point
 from trendloom.options import TrendOptions
 
 
+#: Bits of a delay that a bin leaves open, and the percentiles of delays.
+BIN = 15
+PERCENTS = (50, 95, 99)
+
+
 def quality_summary(spans: DataFrame, opts: TrendOptions | None = None) -> DataFrame:
     """One row of counts over spans: invalid, denied, spans per kind of point, and invalid points."""
     opts = opts or TrendOptions()
@@ -57,31 +62,30 @@ def active_trends(points: DataFrame, opts: TrendOptions | None = None) -> DataFr
 def time_in_topic(points: DataFrame, arrival_us: str = "arrival", rank_rule: str = "ceil") -> DataFrame:
     """Distribution, per trend, of event time minus arrival time in milliseconds (usually negative).
 
-    Equal differences are counted before they are ranked, so what one trend brings to a task is
-    bounded by the range of its delays, not by its number of points.
+    Exact ranks in two passes, without ordering all delays of a trend. The first counts delays in bins of ``BIN`` bits and
+    says which bins hold the ranks; the second orders the delays of those bins alone. So one task gets the bins of a trend
+    (a year of delays has under a million) or the distinct delays of one bin (32,768 at most), whatever the points.
     """
     millis = F.col("ts_sec") * 1000 - F.call_function("div", F.col(arrival_us), F.lit(1000).cast("bigint"))
-    counted = (
-        points.where(is_valid_point())
-        .groupBy("trend_key", millis.alias("ms"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    delays = points.where(is_valid_point()).select("trend_key", millis.alias("ms")).withColumn("bin", F.shiftright("ms", BIN))
+    binned = delays.groupBy("trend_key", "bin").agg(F.count(F.lit(1)).alias("n"), F.min("ms").alias("low"), F.max("ms").alias("high"))
     trend = Window.partitionBy("trend_key")
-    running = trend.orderBy("ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumn("cum", F.sum("n").over(running)).withColumn("n_all", F.sum("n").over(trend))
-
-    def at(percent: int):
-        reached = F.col("cum") >= H.rank_of(percent, F.col("n_all"), rank_rule)
-        return F.min(F.when(reached, F.col("ms")))
-
-    return ranked.groupBy("trend_key").agg(
-        F.sum("n").alias("points"),
-        F.min("ms").alias("min_ms"),
-        at(50).alias("p50_ms"),
-        at(95).alias("p95_ms"),
-        at(99).alias("p99_ms"),
-        F.max("ms").alias("max_ms"),
+    running = trend.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A point without a time of arrival counts as a point, and has no delay to rank.
+    ranked = binned.where("bin IS NOT NULL").withColumn("cum", F.sum("n").over(running)).withColumn("n_all", F.sum("n").over(trend))
+    ranks = F.array(*[F.struct(F.lit(p).alias("percent"), H.rank_of(p, F.col("n_all"), rank_rule).alias("rank")) for p in PERCENTS])
+    held = ranked.withColumn("before", F.col("cum") - F.col("n")).withColumn("r", F.explode(ranks))
+    wanted = held.where((F.col("before") < F.col("r.rank")) & (F.col("r.rank") <= F.col("cum"))).select(
+        "trend_key", "bin", "r.percent", (F.col("r.rank") - F.col("before")).alias("rank")
     )
+    bins = wanted.select("trend_key", "bin").distinct()
+    counted = delays.join(bins, ["trend_key", "bin"]).groupBy("trend_key", "bin", "ms").agg(F.count(F.lit(1)).alias("n"))
+    inside = Window.partitionBy("trend_key", "bin").orderBy("ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = counted.withColumn("cum", F.sum("n").over(inside))
+    met = fine.join(wanted, ["trend_key", "bin"]).where(F.col("cum") >= F.col("rank"))
+    found = met.groupBy("trend_key").agg(*[F.min(F.when(F.col("percent") == p, F.col("ms"))).alias(f"p{p}_ms") for p in PERCENTS])
+    ends = binned.groupBy("trend_key").agg(F.sum("n").alias("points"), F.min("low").alias("min_ms"), F.max("high").alias("max_ms"))
+    return ends.join(found, "trend_key", "left").select("trend_key", "points", "min_ms", *[f"p{p}_ms" for p in PERCENTS], "max_ms")
 
 
 def observe_points(points: DataFrame, name: str | Observation = "points") -> DataFrame:

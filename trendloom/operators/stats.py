@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +15,14 @@ from trendloom.options import TrendOptions
 WINDOW_KEYS = (*SERIES, "seconds", "win_start")
 
 
-def window_stats(cells: DataFrame, opts: TrendOptions) -> DataFrame:
+def window_stats(cells: DataFrame, opts: TrendOptions, keep: Sequence[str] = ()) -> DataFrame:
     """One row per trend window with the statistics of every aggregate, null for the ones not its own.
 
     The running count over the buckets of a window gives exact weighted ranks. A window has at most
-    ``bucket_limit`` cells, whatever the number of points behind them.
+    ``bucket_limit`` cells, whatever the number of points behind them. ``keep`` names columns that all cells of a window share.
     """
-    group = Window.partitionBy(*WINDOW_KEYS)
+    keys = (*WINDOW_KEYS, *keep)
+    group = Window.partitionBy(*keys)
     running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = cells.withColumn("cum", F.sum("n").over(running)).withColumn("n_all", F.sum("n").over(group))
     sums, derived = [], []
@@ -33,14 +36,14 @@ def window_stats(cells: DataFrame, opts: TrendOptions) -> DataFrame:
                 {name: F.when(own, column) for name, column in step.items()}
                 for step in aggregate.derived(opts.histogram)
             ]
-    wide = rows.groupBy(*WINDOW_KEYS).agg(F.sum("n").alias("points"), *sums)
+    wide = rows.groupBy(*keys).agg(F.sum("n").alias("points"), *sums)
     for step in derived:
         wide = wide.withColumns(step)
     stats = []
     for aggregate in opts.aggregates:
         own = F.col("agg_type") == aggregate.name
         stats += [F.when(own, F.col(name)).alias(name) for name in aggregate.stats.values()]
-    return wide.select(*WINDOW_KEYS, "points", *stats)
+    return wide.select(*keys, "points", *stats)
 
 
 def offered_stats(opts: TrendOptions) -> Column:
