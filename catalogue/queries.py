@@ -298,22 +298,22 @@ def _of_kind(cells: DataFrame, agg_type: str) -> DataFrame:
 
 
 def q_strict_counts(spark, sf_dir):
-    opts = TrendOptions(emit="closed")
+    opts = TrendOptions(emit="closed").limited(S.AGG_COUNT)
     cells = accepted_cells(tally_of_spans(event_spans(spark, sf_dir), opts), opts)
-    return _named(window_stats(_of_kind(cells, S.AGG_COUNT), opts), "points", "count")
+    return _named(window_stats(cells, opts), "points", "count")
 
 
 def q_strict_duration(spark, sf_dir):
-    opts = TrendOptions(emit="closed")
+    opts = TrendOptions(emit="closed").limited(S.AGG_HISTOGRAM)
     cells = accepted_cells(tally_of_spans(event_spans(spark, sf_dir), opts), opts)
-    return _named(window_stats(_of_kind(cells, S.AGG_HISTOGRAM), opts), "points", *HISTOGRAM_COLUMNS)
+    return _named(window_stats(cells, opts), "points", *HISTOGRAM_COLUMNS)
 
 
 def q_strict_dense(spark, sf_dir):
     """Strict mode over dense spans, where slices of arrival are cut by closing windows."""
-    opts = TrendOptions(emit="all", arrival_block=LINE_BLOCK)
+    opts = TrendOptions(emit="all", arrival_block=LINE_BLOCK).limited(S.AGG_HISTOGRAM)
     cells = accepted_cells(tally_of_spans(line_spans(spark, sf_dir), opts), opts)
-    return _named(window_stats(_of_kind(cells, S.AGG_HISTOGRAM), opts), "points", *HISTOGRAM_COLUMNS)
+    return _named(window_stats(cells, opts), "points", *HISTOGRAM_COLUMNS)
 
 
 def q_strict_points(spark, sf_dir):

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.helpers import points, simulate, spans
+from tests.helpers import points, simulate, spans, tag
 from trendloom.functions import histogram as H
 from trendloom.operators.aggregates import DEFAULT_AGGREGATES, Aggregate
 from trendloom.operators.cells import assign_windows, roll_up, span_cells, tally_points
@@ -169,3 +169,17 @@ def test_strict_rule_against_a_point_by_point_model(spark, block):
             assert {c.win_start: c.n for c in own if c.accepted and c.closed} == final
             assert {c.win_start: c.n for c in own if c.accepted and not c.closed} == live
             assert sum(c.n for c in own if not c.accepted) == dropped
+
+
+def test_limited_to_an_aggregate(spark):
+    """Only the trends of the aggregate are grouped and counted, and they are the same."""
+    from trendloom.operators.cells import roll_up, span_cells
+
+    rows = spans(spark, [dict(duration_us=d, start_time_us=s * 1_000_000, tags=[tag("error", "BOOL", v_bool=s % 2 == 0)]) for s, d in enumerate((0, 5, 7000, 10**7, 3))])
+    every = TrendOptions()
+    cells = [r for r in map(tuple, roll_up(span_cells(rows, every), every.intervals).collect())]
+    for name in ("Count", "Histogram"):
+        opts = every.limited(name)
+        got = sorted(map(tuple, roll_up(span_cells(rows, opts), opts.intervals).collect()))
+        assert got == sorted(c for c in cells if c[1] == name) and got
+    assert "low" not in span_cells(rows, every.limited("Count"))._jdf.queryExecution().optimizedPlan().toString()

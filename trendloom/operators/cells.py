@@ -103,34 +103,51 @@ def tally_spans(spans: DataFrame, opts: TrendOptions) -> Tally:
     """
     if tuple(opts.transformers) != DEFAULT_TRANSFORMERS:
         raise ValueError("tally_spans knows the standard transformers only, use tally_points")
-    histogram = next(a for a in opts.aggregates if a.name == S.AGG_HISTOGRAM)
+    histogram = next((a for a in opts.aggregates if a.name == S.AGG_HISTOGRAM), None)
+    timed, counted = _kinds(opts)
     zero, none = F.lit(0).cast("bigint"), F.lit(S.NO_BUCKET).cast("bigint")
     duration = F.coalesce(F.col("duration_us"), zero)
+    low = zero if histogram is None else histogram.bucket(duration, opts.histogram)
     # Nothing here can be null, so that joins on these columns add no filters of their own to the plan.
     rows = spans.select(
         F.coalesce("service_name", F.lit("")).alias("service_name"),
         F.coalesce("operation_name", F.lit("")).alias("operation_name"),
-        is_error().alias("error"),
+        *([is_error().alias("error")] if counted else []),
         window_start(point_seconds(), opts.grain).alias("grain_start"),
-        F.coalesce(F.when(duration > 0, histogram.bucket(duration, opts.histogram)), none).alias("low"),
+        *([F.coalesce(F.when(duration > 0, low), none).alias("low")] if timed else []),
         F.greatest(duration, zero).alias("amount"),
         *[F.col(c) for c in ("arrival",) if c in spans.columns],
     )
-    part = ("service_name", "operation_name", "error", "grain_start", "low")
+    if not counted:
+        rows = rows.where(F.col("low") >= 0)
+    # What no kind of trend asks for is no part of the grouping.
+    part = ("service_name", "operation_name", *(["error"] if counted else []), "grain_start", *(["low"] if timed else []))
     return Tally(rows, part, lambda groups: _spread_spans(groups, opts))
 
 
+def _kinds(opts: TrendOptions) -> tuple[bool, bool]:
+    """Whether some rule asks for duration trends, and some for status trends."""
+
+    def served(name: str) -> bool:
+        return any(r.contains.lower() in name for r in opts.rules)
+
+    timed = served(S.METRIC_DURATION)
+    return timed, served(S.METRIC_SUCCESS) or served(S.METRIC_FAILURE) or not timed
+
+
 def _spread_spans(groups: DataFrame, opts: TrendOptions) -> DataFrame:
     """Trends of grouped spans: duration and status, with the operation and for the service alone."""
     service, operation = encode_name(F.col("service_name"), opts.encoder), encode_name(
         F.col("operation_name"), opts.encoder
     )
-    variants = [(True, operation), (False, operation), (True, None), (False, None)]
-    variants = variants[: 4 if opts.service_level else 2]
-    status = F.when(F.col("error"), F.lit(S.METRIC_FAILURE)).otherwise(F.lit(S.METRIC_SUCCESS))
+    timed, counted = _kinds(opts)
+    levels = (operation, None) if opts.service_level else (operation,)
+    variants = [(of_duration, op) for op in levels for of_duration in ([True] if timed else []) + ([False] if counted else [])]
+    status = F.when(F.col("error"), F.lit(S.METRIC_FAILURE)).otherwise(F.lit(S.METRIC_SUCCESS)) if counted else F.lit("")
     is_duration = F.col("variant").isin([i for i, v in enumerate(variants) if v[0]])
     rows = groups.withColumn("variant", F.explode(F.array(*[F.lit(i) for i in range(len(variants))])))
-    rows = rows.where(~is_duration | (F.col("low") >= 0))
+    if timed:
+        rows = rows.where(~is_duration | (F.col("low") >= 0))
     key, agg_type = F, F
     for i, (of_duration, op) in enumerate(variants):
         metric = F.lit(S.METRIC_DURATION) if of_duration else status
@@ -138,7 +155,9 @@ def _spread_spans(groups: DataFrame, opts: TrendOptions) -> DataFrame:
         chosen = F.col("variant") == i
         key = key.when(chosen, known_tags_key(metric, point_tags(opts, unit, S.MTYPE_GAUGE, service, op, {})))
         agg_type = agg_type.when(chosen, agg_type_of(metric, F.lit(S.MTYPE_GAUGE), opts.rules))
-    bucketed = F.when(is_duration, F.col("low")).otherwise(F.lit(S.NO_BUCKET).cast("bigint"))
+    bucketed = F.lit(S.NO_BUCKET).cast("bigint")
+    if timed:
+        bucketed = F.when(is_duration, F.col("low")).otherwise(bucketed)
     named = rows.withColumns(
         {"trend_key": key, "agg_type": agg_type, "bucket": bucketed, "by_count": ~is_duration}
     )

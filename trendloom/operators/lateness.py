@@ -71,33 +71,44 @@ def gates(firsts: DataFrame, opts: TrendOptions) -> DataFrame:
     ``opens`` (false before the window of the first point) and ``closes`` (null while open).
 
     The k-th smallest of the first arrivals of later windows is found by passing, k times, the larger of
-    each window's value and the running minimum on to the next running minimum.
+    each minute's value and the running minimum on to the next running minimum. The minutes of a trend are ordered once, the
+    newest first, for all intervals: what holds for later windows is the running minimum just before a window's first row,
+    carried on through the window.
     """
-    trend = Window.partitionBy("trend_key")
-    rows = firsts
-    gate = []
-    for interval in opts.intervals:
-        s = interval.seconds
-        win, first = f"win_{s}", f"first_{s}"
-        rows = rows.withColumn(win, window_start(F.col("grain_start"), s))
-        newest_first = trend.orderBy(F.col(win).desc())
-        same, later = newest_first.rangeBetween(0, 0), newest_first.rangeBetween(Window.unboundedPreceding, -1)
-        rows = rows.withColumn(f"passed_{s}_0", F.min(first).over(same))
-        for k in range(interval.extra_windows + 1):
-            passed, smallest = f"passed_{s}_{k}", f"smallest_{s}_{k}"
-            rows = rows.withColumn(smallest, F.min(passed).over(later))
-            both = F.col(passed).isNotNull() & F.col(smallest).isNotNull()
-            rows = rows.withColumn(f"passed_{s}_{k + 1}", F.when(both, F.greatest(passed, smallest)))
-        opening = F.when(F.col(first).isNotNull(), F.struct(F.col(first), F.col(win)))
-        rows = rows.withColumn(f"beginning_{s}", F.min(opening).over(trend)[win])
-        gate.append(
-            F.struct(
-                F.lit(s).cast("bigint").alias("seconds"),
-                F.col(win).alias("win_start"),
-                (F.col(win) >= F.col(f"beginning_{s}")).alias("opens"),
-                F.col(f"smallest_{s}_{interval.extra_windows}").alias("closes"),
-            )
+    newest_first = Window.partitionBy("trend_key").orderBy(F.col("grain_start").desc())
+    upto = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = newest_first.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    wins = {i.seconds: f"win_{i.seconds}" for i in opts.intervals}
+    rows = firsts.withColumns({win: window_start(F.col("grain_start"), s) for s, win in wins.items()})
+    passed = {s: F.col(f"first_{s}") for s in wins}
+    smallest: dict[int, str] = {}
+    begins = {}
+    for s, win in wins.items():
+        begins[f"turns_{s}"] = F.coalesce(F.lag(win).over(newest_first) != F.col(win), F.lit(True))
+        opening = F.when(F.col(f"first_{s}").isNotNull(), F.struct(F.col(f"first_{s}"), F.col(win)))
+        begins[f"beginning_{s}"] = F.min(opening).over(whole)[win]
+    rows = rows.withColumns(begins)
+    for k in range(max(i.extra_windows for i in opts.intervals) + 1):
+        asked = [i.seconds for i in opts.intervals if i.extra_windows >= k]
+        rows = rows.withColumns({f"run_{s}": F.min(passed[s]).over(upto) for s in asked})
+        rows = rows.withColumns({f"before_{s}": F.lag(f"run_{s}").over(newest_first) for s in asked})
+        # A struct, so that a window without later ones is carried on as well.
+        carried = {s: F.last(F.when(F.col(f"turns_{s}"), F.struct(F.col(f"before_{s}").alias("v"))), ignorenulls=True) for s in asked}
+        rows = rows.withColumns({f"smallest_{s}_{k}": carried[s].over(upto)["v"] for s in asked})
+        for s in asked:
+            smallest[s] = f"smallest_{s}_{k}"
+            both = passed[s].isNotNull() & F.col(smallest[s]).isNotNull()
+            rows = rows.withColumn(f"passed_{s}_{k}", F.when(both, F.greatest(passed[s], F.col(smallest[s]))))
+            passed[s] = F.col(f"passed_{s}_{k}")
+    gate = [
+        F.struct(
+            F.lit(s).cast("bigint").alias("seconds"),
+            F.col(win).alias("win_start"),
+            (F.col(win) >= F.col(f"beginning_{s}")).alias("opens"),
+            F.col(smallest[s]).alias("closes"),
         )
+        for s, win in wins.items()
+    ]
     return rows.select("trend_key", "grain_start", F.array(*gate).alias("gates"))
 
 

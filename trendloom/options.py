@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import TYPE_CHECKING, Any
 
 from trendloom.schema import INTERVALS, Interval
@@ -134,6 +134,11 @@ class TrendOptions:
         if unknown:
             raise ValueError(f"rules name aggregates that do not exist: {sorted(unknown)}")
 
+    def limited(self, *names: str) -> TrendOptions:
+        """The same job for some aggregates only; what the others need is then not grouped by."""
+        aggregates = tuple(a for a in self.aggregates if a.name in names)
+        return replace(self, aggregates=aggregates, rules=tuple(r for r in self.rules if r.agg_type in names))
+
     @property
     def grain(self) -> int:
         """The widest window, in seconds, that nests in every interval."""
