@@ -348,6 +348,12 @@ WHERE win + seconds <= t - 60""",
     "active_windows": _with(EVENT_SPANS, E_ALL, _fan())
     + """ SELECT CASE WHEN metric = 'duration' THEN 'Histogram' ELSE 'Count' END AS agg_type, interval_name AS interval,
   win + seconds AS ts_sec, count(DISTINCT trend_key) AS trends FROM fan GROUP BY ALL""",
+    "stream_failures": _with(EVENT_SPANS, E_ALL)
+    + """ SELECT 'rows' AS sink, false AS optional, CAST(4 AS BIGINT) AS batches, CAST(0 AS BIGINT) AS failures, count(*) AS rows FROM points
+UNION ALL SELECT 'broken', true, 4, 4, NULL""",
+    "stream_since": _with(EVENT_SPANS, E_ALL)
+    + """, b AS (SELECT min(arrival) + (max(arrival) - min(arrival)) // 2 + 1 AS half FROM espans)
+SELECT trend_key, value, ts_sec, arrival FROM points, b WHERE arrival >= half""",
     "own_keys": _with(EVENT_SPANS, E_ALL, _fan((900, 3600)), _hist("fan"), _counts("fan")) + "," + _long(),
     "stream_keyed": _with(
         EVENT_SPANS,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +22,7 @@ from trendloom.options import TrendOptions
 from trendloom.plans.trends import point_trends
 from trendloom.session import shared_folder, written
 from trendloom.sources.readers import read_points, read_spans
-from trendloom.sources.sinks import Sink, write_points
+from trendloom.sources.sinks import Sink, read_report, write_points
 from trendloom.sources.stored import store_points, stored_trends
 from trendloom.streaming.app import points_of_spans, start_span_app
 from trendloom.streaming.keyed import keyed_open_windows, run_keyed_trends
@@ -140,6 +142,31 @@ def q_stream_late(spark, sf_dir):
     return seen.unionByName(counted.select(F.expr("stack(3, 'closed', closed, 'open', open, 'late', late) AS (measure, value)")))
 
 
+def q_stream_failures(spark, sf_dir):
+    """What became of the sinks of a stream, one of them optional and broken, over all batches."""
+    folder = shared_folder(spark, "stream-failures")
+    sinks = [Sink("rows", path=f"{folder}/rows"), Sink("broken", format="no-such-format", optional=True)]
+    for spans in _spans_in_parts(spark, sf_dir, folder, "arrival"):
+        start_span_app(spans, f"{folder}/points", f"{folder}/checkpoint", sinks=sinks, report=f"{folder}/report").awaitTermination()
+    told = read_report(spark, f"{folder}/report").groupBy("sink", "optional")
+    return told.agg(F.count(F.lit(1)).alias("batches"), F.count_if(~F.col("ok")).alias("failures"), F.sum("rows").alias("rows"))
+
+
+def q_stream_since(spark, sf_dir):
+    """A stream of files that begins at a moment: what was written before it is left out."""
+    folder = shared_folder(spark, "stream-since")
+    moment = None
+    for part in _in_parts(event_spans(spark, sf_dir).drop("event_id"), "arrival", f"{folder}/spans", 2):
+        if part == 0:
+            newest = spark.read.parquet(f"{folder}/spans").select(F.max(F.unix_micros("_metadata.file_modification_time"))).first()[0]
+            moment = datetime.fromtimestamp((newest or 0) / 1_000_000 + 0.001, timezone.utc)
+            time.sleep(0.01)
+    spans = read_spans(spark, f"{folder}/spans", streaming=True, start=moment)
+    start_span_app(spans, f"{folder}/points", f"{folder}/checkpoint", buckets=8).awaitTermination()
+    points = read_points(spark, f"{folder}/points")
+    return points.select("trend_key", "value", "ts_sec", "arrival")
+
+
 def q_own_keys(spark, sf_dir):
     """Trends of stored points whose keys are their own and tell nothing: metric and tags come from the points."""
     folder = shared_folder(spark, "own-keys")
@@ -185,6 +212,8 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame] | Query] = {
     "stream_rolled": q_stream_rolled,
     "stream_span_app": q_stream_span_app,
     "stream_late": q_stream_late,
+    "stream_failures": q_stream_failures,
+    "stream_since": q_stream_since,
     "own_keys": q_own_keys,
     "stored_trends": q_stored_trends,
     "packed_percentiles": q_packed_percentiles,

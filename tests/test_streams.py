@@ -168,3 +168,22 @@ def test_observed_points(spark):
     seen = Observation("seen")
     observe_points(points(spark, "success-span", [(1, 1), (0, 2)]), seen).count()
     assert seen.get["points"] == 2 and seen.get["invalid_points"] == 1
+
+
+def test_start_at_a_moment(spark, tmp_path):
+    import os
+    from datetime import datetime
+
+    source = str(tmp_path / "in")
+    add_file(spark, source, [(1, 5)], 0)
+    for f in (tmp_path / "in").glob("*.parquet"):
+        os.utime(f, (1_000_000, 1_000_000))
+    add_file(spark, source, [(2, 6)], 1)
+    assert [r.value for r in read_points(spark, source, start="2001-01-01T00:00:00").collect()] == [2.0]
+    assert read_points(spark, source, start=datetime.fromtimestamp(1_000_000)).count() == 2
+    stream = read_points(spark, source, streaming=True, start="2001-01-01")
+    query = stream.writeStream.format("memory").queryName("since").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [r.value for r in spark.table("since").collect()] == [2.0]
+    with pytest.raises(ValueError):
+        read_points(spark, source, start="yesterday")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +19,24 @@ BROKEN = "_broken"
 OFFSETS = 1 << 20
 
 
-def start_position(start: str) -> str:
+def start_position(start: str | datetime) -> str | datetime:
+    """``latest``, ``earliest``, or a moment; a moment without a zone is in UTC."""
+    if isinstance(start, datetime):
+        return start if start.tzinfo else start.replace(tzinfo=timezone.utc)
     lowered = start.lower()
-    if lowered not in START_POSITIONS:
-        raise ValueError(f"start must be one of {START_POSITIONS}, got {start!r}")
-    return lowered
+    if lowered in START_POSITIONS:
+        return lowered
+    try:
+        return start_position(datetime.fromisoformat(start))
+    except ValueError:
+        raise ValueError(f"start must be one of {START_POSITIONS} or a moment in ISO form, got {start!r}") from None
+
+
+def _since(reader: DataFrameReader, path: str, moment: datetime, schema: T.StructType) -> DataFrame:
+    """Rows of files that were written at or after the moment."""
+    since = F.timestamp_micros(F.lit(round(moment.timestamp() * 1_000_000)))
+    rows = reader.load(path)
+    return rows.where(F.col("_metadata.file_modification_time") >= since).select(*schema.names)
 
 
 def _read(
@@ -31,7 +45,7 @@ def _read(
     schema: T.StructType,
     format: str,
     streaming: bool,
-    start: str | None,
+    start: str | datetime | None,
     options: Mapping[str, str] | None,
 ) -> DataFrame:
     start = start_position(start or ("latest" if format == "kafka" else "earliest"))
@@ -39,14 +53,19 @@ def _read(
     if format == "kafka":
         # A table has no latest point to start from, so a batch read always covers the whole topic.
         offsets = start if streaming else "earliest"
-        raw = reader.format("kafka").option("subscribe", path).option("startingOffsets", offsets)
+        raw = reader.format("kafka").option("subscribe", path)
+        if isinstance(start, datetime):
+            raw = raw.option("startingTimestamp", str(int(start.timestamp() * 1000)))
+        else:
+            raw = raw.option("startingOffsets", offsets)
         raw = raw.options(**(options or {})).load()
         return decode_messages(raw, schema)
     if format not in FILE_FORMATS:
         raise ValueError(f"unknown source format {format!r}, use kafka or one of {FILE_FORMATS}")
     if streaming and start == "latest":
         raise ValueError("files have no latest position: a stream reads all of them, the oldest first")
-    return reader.format(format).schema(schema).options(**(options or {})).load(path)
+    reader = reader.format(format).schema(schema).options(**(options or {}))
+    return _since(reader, path, start, schema) if isinstance(start, datetime) else reader.load(path)
 
 
 def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
@@ -87,13 +106,14 @@ def read_spans(
     path: str,
     format: str = "parquet",
     streaming: bool = False,
-    start: str | None = None,
+    start: str | datetime | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Spans from a folder of files, or from the topic ``path`` when ``format`` is kafka.
 
-    ``start`` says where a stream of a bus begins, by default at the latest offset. A stream of files always reads all of
-    them, the oldest first, so that no file's event time makes another file's points late.
+    ``start`` says where a stream of a bus begins, by default at the latest offset. A stream of files reads all of them, the
+    oldest first, so that no file's event time makes another file's points late. A moment, as a datetime or in ISO form,
+    leaves out what was written before it; a restarted stream must be given the same moment, so there is no ``latest`` for files.
     """
     return _read(spark, path, SPAN_SCHEMA, format, streaming, start, options)
 
@@ -103,7 +123,7 @@ def read_points(
     path: str,
     format: str = "parquet",
     streaming: bool = False,
-    start: str | None = None,
+    start: str | datetime | None = None,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Metric points, such as :func:`trendloom.sources.sinks.write_points` wrote; a missing key is derived."""

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -93,6 +93,32 @@ def write_fanout(rows: DataFrame, sinks: Sequence[Sink]) -> list[dict]:
     return results
 
 
+REPORT = "batch_id long, label string, sink string, rows long, ok boolean, optional boolean, error string"
+
+
+def batch_sinks(sinks: Sequence[Sink], batch_id: int, label: str = "") -> list[Sink]:
+    """File sinks pointed at a folder of this batch, so that writing a batch again replaces it."""
+    return [s if s.path is None else replace(s, path=f"{s.path}/{label}batch_id={batch_id}", mode="overwrite") for s in sinks]
+
+
+def serve_batch(rows: DataFrame, sinks: Sequence[Sink], batch_id: int, label: str = "", report: str | None = None) -> None:
+    """Writes one batch of a stream to its sinks, and what became of each sink to the table ``report``.
+
+    The report of a batch replaces that of an earlier try, and is written before a sink that is not optional stops the query.
+    """
+    results = write_fanout(rows, batch_sinks(sinks, batch_id, label))
+    if report is not None:
+        said = [(batch_id, label, r["sink"], r["rows"], r["ok"], r["optional"], (r["error"] or "")[:2000] or None) for r in results]
+        written = rows.sparkSession.createDataFrame(said, REPORT).coalesce(1)
+        written.write.mode("overwrite").parquet(f"{report}/{label}report_of={batch_id}")
+    require_all(results)
+
+
+def read_report(spark: SparkSession, report: str) -> DataFrame:
+    """What became of every sink in every batch, as rows of REPORT."""
+    return spark.read.schema(REPORT).option("recursiveFileLookup", "true").parquet(report)
+
+
 class FanoutError(RuntimeError):
     """At least one sink that is not optional failed; raised where a batch must be tried again."""
 

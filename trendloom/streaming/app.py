@@ -11,8 +11,7 @@ from trendloom.operators.filters import valid_spans
 from trendloom.operators.points import to_points
 from trendloom.operators.quality import observe_points
 from trendloom.options import TrendOptions
-from trendloom.sources.sinks import Sink, require_all, write_fanout, write_points
-from trendloom.streaming.native import batch_sinks
+from trendloom.sources.sinks import Sink, serve_batch, write_points
 
 
 def points_of_spans(spans: DataFrame, opts: TrendOptions | None = None) -> DataFrame:
@@ -29,6 +28,7 @@ def start_span_app(
     buckets: int = 64,
     sinks: Sequence[Sink] = (),
     trigger: dict | None = None,
+    report: str | None = None,
 ) -> StreamingQuery:
     """Points of a stream of spans, stored by trend under ``path`` as ``write_points`` does, and sent to further ``sinks``.
 
@@ -41,11 +41,11 @@ def start_span_app(
         rows = batch.persist() if sinks else batch
         try:
             write_points(rows, f"{path.rstrip('/')}/batch={batch_id}", buckets, mode="overwrite")
-            results = write_fanout(rows, batch_sinks(sinks, batch_id)) if sinks else []
+            if sinks:
+                serve_batch(rows, sinks, batch_id, report=report)
         finally:
             if sinks:
                 rows.unpersist()
-        require_all(results)
 
     return (
         points.writeStream.foreachBatch(emit)

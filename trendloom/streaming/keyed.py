@@ -28,8 +28,7 @@ from trendloom.operators.rules import with_trend_key
 from trendloom.options import TrendOptions
 from trendloom.plans.trends import trends_from_cells
 from trendloom.schema import NO_BUCKET
-from trendloom.sources.sinks import Sink, require_all, write_fanout
-from trendloom.streaming.native import batch_sinks
+from trendloom.sources.sinks import Sink, serve_batch
 
 CLOSED, LATE, TREND = "closed", "late", "trend"
 _SETTINGS = {
@@ -235,8 +234,10 @@ def run_keyed_trends(
     opts: TrendOptions | None = None,
     trigger: dict | None = None,
     late_sinks: Sequence[Sink] = (),
+    report: str | None = None,
 ) -> StreamingQuery:
-    """One query for all intervals. ``late_sinks`` get the counts of late points of each batch.
+    """One query for all intervals. ``late_sinks`` get the counts of late points of each batch, the table ``report`` what
+    became of each sink.
 
     A batch that fails, in a task or in a sink, is run again from the state of the batch before, and file sinks replace what
     it wrote: nothing is lost or written twice.
@@ -248,12 +249,11 @@ def run_keyed_trends(
         rows = batch.persist()
         try:
             trends = rows.where(F.col("kind") == TREND).select("trend_key", "metric", "tags")
-            results = write_fanout(trends_from_cells(closed_cells(rows), opts, trends), batch_sinks(sinks, batch_id))
+            serve_batch(trends_from_cells(closed_cells(rows), opts, trends), sinks, batch_id, report=report)
             if late_sinks:
-                results += write_fanout(late_rows(rows), batch_sinks(late_sinks, batch_id))
+                serve_batch(late_rows(rows), late_sinks, batch_id, report=report and f"{report}/late")
         finally:
             rows.unpersist()
-        require_all(results)
 
     with _settings(points.sparkSession):
         return (

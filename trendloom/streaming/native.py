@@ -9,7 +9,6 @@ state partitions as it has buckets.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from trendloom.options import TrendOptions
 from trendloom.plans.trends import trends_from_cells
 from trendloom.schema import Interval
 from trendloom.sources.readers import with_event_time
-from trendloom.sources.sinks import Sink, require_all, write_fanout
+from trendloom.sources.sinks import Sink, serve_batch
 
 
 def _windowed(points: DataFrame, interval: Interval, opts: TrendOptions, delay: int | None) -> DataFrame:
@@ -80,18 +79,6 @@ def count_stream(
     return counts.select("trend_key", "seconds", "win_start", F.col("total").alias("count"))
 
 
-def batch_sinks(sinks: Sequence[Sink], batch_id: int, label: str = "") -> list[Sink]:
-    """File sinks pointed at a folder of this batch, so that writing a batch again replaces it."""
-    placed = []
-    for sink in sinks:
-        if sink.path is None:
-            placed.append(sink)
-            continue
-        path = f"{sink.path}/{label}batch_id={batch_id}"
-        placed.append(replace(sink, path=path, mode="overwrite"))
-    return placed
-
-
 def start_native_trend(
     points: DataFrame,
     interval: Interval,
@@ -100,15 +87,17 @@ def start_native_trend(
     opts: TrendOptions | None = None,
     trigger: dict | None = None,
     delay: int | None = None,
+    report: str | None = None,
 ) -> StreamingQuery:
-    """One query for one interval. All cells of a window leave the state together, so a batch can rank them."""
+    """One query for one interval. ``report`` is a table for what became of each sink, see ``sinks.read_report``.
+
+    All cells of a window leave the state together, so a batch can rank them."""
     opts = opts or TrendOptions()
     cells = native_cells(points, interval, opts, delay)
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         rows = trends_from_cells(batch, opts)
-        placed = batch_sinks(sinks, batch_id, f"interval_s={interval.seconds}/")
-        require_all(write_fanout(rows, placed))
+        serve_batch(rows, sinks, batch_id, f"interval_s={interval.seconds}/", report)
 
     return (
         cells.writeStream.outputMode("append")
@@ -125,10 +114,11 @@ def run_native_trends(
     sinks: Sequence[Sink],
     opts: TrendOptions | None = None,
     trigger: dict | None = None,
+    report: str | None = None,
 ) -> list[StreamingQuery]:
     """One query per interval, since a query has one watermark and the intervals wait differently."""
     opts = opts or TrendOptions()
-    return [start_native_trend(points, i, checkpoint, sinks, opts, trigger) for i in opts.intervals]
+    return [start_native_trend(points, i, checkpoint, sinks, opts, trigger, report=report) for i in opts.intervals]
 
 
 def in_flight(spark: SparkSession, checkpoint: str, interval: Interval, operator: int = 0) -> DataFrame:

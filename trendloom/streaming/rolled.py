@@ -20,8 +20,7 @@ from trendloom.operators.filters import valid_spans
 from trendloom.options import TrendOptions
 from trendloom.plans.trends import trends_from_cells
 from trendloom.schema import Interval
-from trendloom.sources.sinks import Sink, require_all, write_fanout
-from trendloom.streaming.native import batch_sinks
+from trendloom.sources.sinks import Sink, serve_batch
 
 MINUTE_SCHEMA = T.StructType(
     [
@@ -68,12 +67,11 @@ def interval_cells(minutes: DataFrame, interval: Interval, grain: int) -> DataFr
     return rolled.select(*SERIES, seconds, F.unix_seconds("window.start").alias("win_start"), "bucket", "n", "total")
 
 
-def _emitter(interval: Interval, opts: TrendOptions, sinks: Sequence[Sink]) -> Callable[[DataFrame, int], None]:
+def _emitter(interval: Interval, opts: TrendOptions, sinks: Sequence[Sink], report: str | None) -> Callable[[DataFrame, int], None]:
     def emit(batch: DataFrame, batch_id: int) -> None:
         # A minute's groups are several cells of one bucket; they add up before they are ranked.
         cells = batch.groupBy(*SERIES, "seconds", "win_start", "bucket").agg(F.sum("n").alias("n"), F.try_sum("total").alias("total"))
-        placed = batch_sinks(sinks, batch_id, f"interval_s={interval.seconds}/")
-        require_all(write_fanout(trends_from_cells(cells, opts), placed))
+        serve_batch(trends_from_cells(cells, opts), sinks, batch_id, f"interval_s={interval.seconds}/", report)
 
     return emit
 
@@ -93,13 +91,13 @@ def start_minutes(spans: DataFrame, folder: str, opts: TrendOptions, delay: int
     )
 
 
-def start_intervals(spark: SparkSession, folder: str, sinks: Sequence[Sink], opts: TrendOptions, trigger: dict | None = None) -> list[StreamingQuery]:
+def start_intervals(spark: SparkSession, folder: str, sinks: Sequence[Sink], opts: TrendOptions, trigger: dict | None = None, report: str | None = None) -> list[StreamingQuery]:
     """One query for each interval over the table of minutes; the table must be there."""
     queries = []
     for interval in opts.intervals:
         cells = interval_cells(read_minutes(spark, folder, streaming=True), interval, opts.grain)
         queries.append(
-            cells.writeStream.foreachBatch(_emitter(interval, opts, sinks))
+            cells.writeStream.foreachBatch(_emitter(interval, opts, sinks, report))
             .option("checkpointLocation", f"{folder}/checkpoint/{interval.name}")
             .outputMode("append")
             .trigger(**(trigger or {"availableNow": True}))
@@ -108,9 +106,9 @@ def start_intervals(spark: SparkSession, folder: str, sinks: Sequence[Sink], opt
     return queries
 
 
-def run_rolled_trends(spans: DataFrame, folder: str, sinks: Sequence[Sink], opts: TrendOptions | None = None, delay: int | None = None) -> None:
+def run_rolled_trends(spans: DataFrame, folder: str, sinks: Sequence[Sink], opts: TrendOptions | None = None, delay: int | None = None, report: str | None = None) -> None:
     """Everything there is to read, once: first the minutes, then all intervals."""
     opts = opts or TrendOptions()
     start_minutes(spans, folder, opts, delay).awaitTermination()
-    for query in start_intervals(spans.sparkSession, folder, sinks, opts):
+    for query in start_intervals(spans.sparkSession, folder, sinks, opts, report=report):
         query.awaitTermination()

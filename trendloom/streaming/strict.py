@@ -24,8 +24,7 @@ from trendloom.operators.rules import with_describing_key
 from trendloom.options import TrendOptions
 from trendloom.plans.trends import trends_from_cells
 from trendloom.schema import CELL_SCHEMA
-from trendloom.sources.sinks import Sink, require_all, write_fanout
-from trendloom.streaming.native import batch_sinks
+from trendloom.sources.sinks import Sink, serve_batch
 
 SLOT_SCHEMA = T.StructType(
     [*CELL_SCHEMA.fields, T.StructField("batch_id", T.LongType()), T.StructField("closed", T.BooleanType())]
@@ -59,6 +58,7 @@ def run_strict_trends(
     sinks: Sequence[Sink],
     opts: TrendOptions | None = None,
     trigger: dict | None = None,
+    report: str | None = None,
 ) -> StreamingQuery:
     """One query for all intervals. Later batches must hold later arrivals, as offsets of a bus do."""
     opts = opts or TrendOptions(emit="closed")
@@ -66,7 +66,7 @@ def run_strict_trends(
     def emit(batch: DataFrame, batch_id: int) -> None:
         closed = judge_batch(batch, batch_id, checkpoint, opts)
         rows = trends_from_cells(closed.drop("batch_id", "closed"), opts)
-        require_all(write_fanout(rows, batch_sinks(sinks, batch_id)))
+        serve_batch(rows, sinks, batch_id, report=report)
 
     return (
         points.writeStream.foreachBatch(emit)
