@@ -20,6 +20,7 @@ AWKWARD = [
     (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "One"), (6, LONG), (7, LONG), (8, "a b c d e f g h i j k"), (9, "a b c d e f g h i j k l"),
     (10, "The same long line of text here\nx"), (11, "y\n  the SAME long line of text here  "), (12, "The same long line of text here"),
     (13, "naïve Ünïcode 日本語 \x1c x\x85y\xa0z 's 'll"), (None, "The same long line of text here"), (14, "mail a.b@example.com or A.B@example.com, call +1 (487) 555-7209"),
+    (15, "a <|endoftext|> b <|ENDOFTEXT|>x"),
 ]
 
 
@@ -53,9 +54,7 @@ def test_query_equals_sql(spark, con, sf_dir, name):
 def tokenizer(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(P.path(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(P.path(name))
 
 
 def library_ids(name, text):

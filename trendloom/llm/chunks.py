@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Chunks in one generation of what a worker remembers, and the longest one it remembers, in characters.
 REMEMBERED, LONGEST = 500_000, 100
@@ -44,7 +47,6 @@ class Memo(dict):
                 self.clear()
             self[chunk] = value
 
-
     def known(self, chunk: str) -> bool:
         return chunk in self or chunk in self.old
 
@@ -102,44 +104,152 @@ class ChunkEncoder:
         return found
 
 
-@lru_cache(maxsize=4)
-def library_encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.dtype]:
-    """Texts to packed ids by the tokenizers library, without special tokens, and the type of the packed ids.
+class LibraryEncoder:
+    """Texts to packed ids by the tokenizers library, with its own defaults, but for special tokens that it would add.
 
-    Which chunks can be encoded apart follows from the file's own splitting rule; a file with any other rule gets whole texts.
+    The chunks of many texts are split, numbered and gathered as Arrow and numpy columns; Python handles each distinct chunk
+    once a call, and nothing is remembered between calls. Which chunks can be encoded apart follows from the file's own
+    splitting rule. Whole texts go to the library where a file has any other rule, and where a text may hold the string of a
+    special token or white space on which libraries disagree.
     """
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-    dtype = np.dtype("<u2" if tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-
-    def encode(text: str) -> bytes:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype).tobytes()
-
-    rule = _rule(path)
-    if rule is None:
-        return (lambda texts: [encode(t) for t in texts]), dtype
-    border = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
-    for token, i in tokenizer.get_vocab().items():
-        border[i] = token.startswith("Ġ") if rule == "spaced" else token.endswith("</w>")
-
-    def learn(memo: Memo, words: list[str]) -> None:
-        """All words as one text, cut where a token starts with the space or ends a word."""
-        for some in (words[i : i + 2000] for i in range(0, len(words), 2000)):
-            lead = " " if rule == "spaced" else ""
-            ids = np.array(tokenizer.encode_batch_fast([lead + " ".join(some)], add_special_tokens=False)[0].ids, dtype)
-            cuts = np.flatnonzero(border[ids])
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        # Tasks are the parallel unit here; threads inside of them would only share the same cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.tokenizer = Tokenizer.from_file(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.rule = _rule(path)
+        self.lead = " " if self.rule == "spaced" else ""
+        # Normalising may change letters of a special token's string but not two marks like these.
+        marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.special = re.compile("|".join(map(re.escape, sorted(marks))), re.I) if marks else None
+        self.border = np.zeros(size, bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.border[i] = token.startswith("Ġ") if self.rule == "spaced" else token.endswith("</w>")
+
+    def each(self, texts: list[str]) -> list[bytes]:
+        """Ids of whole texts, or of chunks as if they were."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+
+    def _by_chunks(self, text: str) -> bool:
+        if self.rule is None or (self.special and self.special.search(text)):
+            return False
+        return self.rule == "spaced" or not _UNSURE.search(text)
+
+    def many(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        plain, loose, whole = [], [], []
+        for i, text in enumerate(texts):
+            if not self._by_chunks(text):
+                whole.append(i)
+            elif self.rule == "spaced" and _LOOSE.search(text):
+                loose.append(i)
+            else:
+                plain.append(i)
+        for i in whole:
+            out[i] = self.each([texts[i]])[0]
+        split = pc.split_pattern(pa.array([texts[i] for i in plain], pa.string()), " ") if self.rule == "spaced" else (
+            pc.ascii_split_whitespace(pa.array([texts[i] for i in plain], pa.string()))
+        )
+        cut = pa.array([_TIGHT.split(texts[i]) for i in loose], pa.list_(pa.string()))
+        for places, lists in ((plain, split), (loose, cut)):
+            if places:
+                for i, ids in zip(places, self._gathered(lists)):
+                    out[i] = ids
+        return out
+
+    def _gathered(self, lists: pa.ListArray) -> Iterator[bytes]:
+        """The ids of each list of chunks."""
+        starts = lists.offsets.to_numpy().astype(np.int64)
+        numbered = lists.flatten().dictionary_encode()
+        which = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        starts -= starts[0]
+        entries = self._chunk_ids(numbered.dictionary.to_pylist())
+        if self.lead:  # the first chunk of a text has no space before it
+            firsts = numbered.dictionary.take(pa.array(which[starts[:-1]])).to_pylist()
+            which[starts[:-1]] = len(entries) + np.arange(len(firsts))
+            entries += self.each(firsts)
+        item = self.dtype.itemsize
+        lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // item
+        ids = np.frombuffer(b"".join(entries), self.dtype)
+        begins = np.cumsum(lengths) - lengths
+        for low, high in _stretches(starts):
+            some = which[starts[low] : starts[high]]
+            n = lengths[some]
+            ends = np.cumsum(n)
+            at = np.repeat(begins[some] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+            packed = ids[at].tobytes()
+            borders = np.concatenate([[0], ends])[starts[low : high + 1] - starts[low]] * item
+            for a, b in zip(borders.tolist(), borders[1:].tolist()):
+                yield packed[a:b]
+
+    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each distinct chunk, with the space before it where that belongs to it."""
+        words: dict[str, None] = {}
+        rests: dict[str, None] = {}
+        parts: list[tuple[str, str | None] | None] = []
+        for chunk in chunks:
+            end = m.end() if (m := _LETTERS.match(chunk)) else 0
+            if end and (end == len(chunk) or chunk[end] < "\x80"):
+                word, rest = chunk[:end], chunk[end:]
+                words[word] = None
+                if rest:
+                    rests[rest] = None
+                parts.append((word, rest))
+            else:
+                parts.append(None if chunk or self.lead else ("", None))
+        known = self._word_ids(list(words))
+        after = dict(zip(rests, self.each(list(rests))))
+        other = iter(self.each([self.lead + c for c, p in zip(chunks, parts) if p is None]))
+        found = []
+        for part in parts:
+            if part is None:
+                found.append(next(other))
+            elif part[1] is None:
+                found.append(b"")
+            else:
+                found.append(known[part[0]] + after[part[1]] if part[1] else known[part[0]])
+        return found
+
+    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
+        """Many words as one text, cut where a token starts with the space or ends a word."""
+        out: dict[str, bytes] = {}
+        for i in range(0, len(words), 2000):
+            some = words[i : i + 2000]
+            ids = np.frombuffer(self.each([self.lead + " ".join(some)])[0], self.dtype)
+            cuts = np.flatnonzero(self.border[ids])
             if len(cuts) != len(some):  # a word that the tokenizer splits or changes: one by one
-                for word in some:
-                    memo.put(word, encode(lead + word))
+                out.update(zip(some, self.each([self.lead + w for w in some])))
                 continue
-            starts = cuts if rule == "spaced" else np.concatenate([[0], cuts[:-1] + 1])
-            packed, places = ids.tobytes(), (np.append(starts, len(ids)) * dtype.itemsize).tolist()
+            starts = cuts if self.lead else np.concatenate([[0], cuts[:-1] + 1])
+            packed, places = ids.tobytes(), (np.append(starts, len(ids)) * self.dtype.itemsize).tolist()
             for word, start, stop in zip(some, places, places[1:]):
-                memo.put(word, packed[start:stop])
+                out[word] = packed[start:stop]
+        return out
+
+
+def _stretches(starts: np.ndarray, chunks: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Lists ``low`` to ``high`` with about so many chunks, one list at least."""
+    low, n = 0, len(starts) - 1
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(starts, starts[low] + chunks, "right")) - 1)
+        yield low, min(high, n)
+        low = min(high, n)
 
-    return ChunkEncoder(encode, learn, rule == "spaced").many, dtype
+
+@lru_cache(maxsize=2)
+def _library(path: str) -> LibraryEncoder:
+    return LibraryEncoder(path)
+
+
+def library_encoder(path: str) -> tuple[Callable[[list[str]], list[bytes]], np.dtype]:
+    """Texts to packed ids by the tokenizers library, without added special tokens, and the type of the packed ids."""
+    encoder = _library(path)
+    return encoder.many, encoder.dtype
 
 
 def _rule(path: str) -> str | None:
