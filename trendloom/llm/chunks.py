@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -13,6 +13,10 @@ import pyarrow.compute as pc
 
 #: Chunks in one generation of what a worker remembers, and the longest one it remembers, in characters.
 REMEMBERED, LONGEST = 500_000, 100
+#: Of a library encoder: bytes of words in one generation, and what a word takes besides its letters.
+REMEMBERED_BYTES, ENTRY_BYTES = 48 << 20, 220
+#: Characters of texts that are best given to a library encoder at once.
+PORTION_TEXT = 5 << 20
 
 #: A space that has white space or an end beside it.
 _LOOSE = re.compile(r" (?:(?!\S)|(?<!\S ))")
@@ -108,7 +112,7 @@ class LibraryEncoder:
     """Texts to packed ids by the tokenizers library, with its own defaults, but for special tokens that it would add.
 
     The chunks of many texts are split, numbered and gathered as Arrow and numpy columns; Python handles each distinct chunk
-    once a call, and nothing is remembered between calls. Which chunks can be encoded apart follows from the file's own
+    once a call. Words are remembered in two generations of ``REMEMBERED_BYTES`` each. Which chunks can be encoded apart follows from the file's own
     splitting rule. Whole texts go to the library where a file has any other rule, and where a text may hold the string of a
     special token or white space on which libraries disagree.
     """
@@ -129,6 +133,9 @@ class LibraryEncoder:
         self.border = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.border[i] = token.startswith("Ġ") if self.rule == "spaced" else token.endswith("</w>")
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.held = 0
 
     def each(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, or of chunks as if they were."""
@@ -166,22 +173,23 @@ class LibraryEncoder:
         """The ids of each list of chunks."""
         starts = lists.offsets.to_numpy().astype(np.int64)
         numbered = lists.flatten().dictionary_encode()
-        which = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        which = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         starts -= starts[0]
         entries = self._chunk_ids(numbered.dictionary.to_pylist())
         if self.lead:  # the first chunk of a text has no space before it
             firsts = numbered.dictionary.take(pa.array(which[starts[:-1]])).to_pylist()
-            which[starts[:-1]] = len(entries) + np.arange(len(firsts))
+            which[starts[:-1]] = len(entries) + np.arange(len(firsts), dtype=np.int32)
             entries += self.each(firsts)
         item = self.dtype.itemsize
-        lengths = np.fromiter(map(len, entries), np.int64, len(entries)) // item
+        lengths = np.fromiter(map(len, entries), np.int32, len(entries)) // item
         ids = np.frombuffer(b"".join(entries), self.dtype)
-        begins = np.cumsum(lengths) - lengths
+        begins = (np.cumsum(lengths, dtype=np.int64) - lengths).astype(np.int32)  # a call's distinct chunks are far fewer
         for low, high in _stretches(starts):
             some = which[starts[low] : starts[high]]
             n = lengths[some]
-            ends = np.cumsum(n)
-            at = np.repeat(begins[some] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+            ends = np.cumsum(n, dtype=np.int64)
+            at = np.repeat(begins[some] - (ends - n).astype(np.int32), n)
+            at += np.arange(len(at), dtype=np.int32)
             packed = ids[at].tobytes()
             borders = np.concatenate([[0], ends])[starts[low : high + 1] - starts[low]] * item
             for a, b in zip(borders.tolist(), borders[1:].tolist()):
@@ -202,7 +210,7 @@ class LibraryEncoder:
                 parts.append((word, rest))
             else:
                 parts.append(None if chunk or self.lead else ("", None))
-        known = self._word_ids(list(words))
+        known = self._known(words)
         after = dict(zip(rests, self.each(list(rests))))
         other = iter(self.each([self.lead + c for c, p in zip(chunks, parts) if p is None]))
         found = []
@@ -215,6 +223,26 @@ class LibraryEncoder:
                 found.append(known[part[0]] + after[part[1]] if part[1] else known[part[0]])
         return found
 
+    def _known(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of words, remembered ones first; results never depend on what is remembered."""
+        found, new = {}, []
+        young, old = self.young, self.old
+        for word in words:
+            ids = young.get(word) or old.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                found[word] = ids
+        learned = self._word_ids(new)
+        found.update(learned)
+        if self.held > REMEMBERED_BYTES:
+            self.young, self.old, self.held = {}, young, 0
+            # What is in use goes on to the next generation.
+            learned = found if len(found) * ENTRY_BYTES < REMEMBERED_BYTES else learned
+        self.young.update(learned)
+        self.held += sum(map(len, learned)) + ENTRY_BYTES * len(learned)
+        return found
+
     def _word_ids(self, words: list[str]) -> dict[str, bytes]:
         """Many words as one text, cut where a token starts with the space or ends a word."""
         out: dict[str, bytes] = {}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from trendloom.llm.chunks import library_encoder
+from trendloom.llm.chunks import PORTION_TEXT, library_encoder
 from trendloom.llm.frames import arrow_map, carried, column, portions, settled
 
 CAPACITY = 4096
@@ -203,7 +203,7 @@ def _best_fit(counts: np.ndarray, small_below: int, capacity: int, runs: list[Ru
 def _pieces(rows: Iterator[tuple], path: str, end: int, capacity: int) -> Iterable[tuple]:
     encode, dtype = library_encoder(path)
     tail = np.array([end], dtype).tobytes()
-    for some in portions(rows):
+    for some in portions(rows, PORTION_TEXT):
         for (key, _), packed in zip(some, encode([text or "" for _, text in some])):
             ids = np.frombuffer(packed + tail, dtype).astype("<u4")
             for piece, start in enumerate(range(0, len(ids), capacity)):

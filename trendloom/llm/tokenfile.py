@@ -17,13 +17,14 @@ import json
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from trendloom.llm.chunks import library_encoder
+from trendloom.llm.chunks import PORTION_TEXT, library_encoder
 from trendloom.llm.frames import arrow_map, column, portions, read_file, settled, write_file
 from trendloom.session import shared_folder
 
@@ -185,7 +186,7 @@ def read_documents(data: bytes) -> Iterator[tuple[int | None, np.ndarray]]:
 def _tokenized(rows: Iterator[tuple], path: str, end: int | None) -> Iterable[tuple]:
     encode, dtype = library_encoder(path)
     tail = b"" if end is None else np.array([end], dtype).tobytes()
-    for some in portions(rows):
+    for some in portions(rows, PORTION_TEXT):
         for (key, _), packed in zip(some, encode([text or "" for _, text in some])):
             ids = packed + tail
             # One plane for each byte of the ids: the planes compress better apart.
@@ -209,8 +210,8 @@ def tokenized(docs: DataFrame, path: str, end: int | None = None, key: str = "do
 
 def _counted(rows: Iterator[tuple]) -> Iterable[tuple]:
     total = np.zeros(0, np.int64)
-    for planes, n in rows:
-        more = np.bincount(_ids(planes, n))
+    for some in portions(rows, 2 * PORTION):
+        more = np.bincount(np.concatenate([_ids(planes, n) for planes, n in some]))
         if len(more) > len(total):
             total, more = more.astype(np.int64), total
         total[: len(more)] += more
@@ -266,6 +267,16 @@ def _written(rows: Iterator[tuple], folder: str, lengths: bytes, block: int, fil
         yield close()
 
 
+def _coded_files(rows: Iterator[tuple], folder: str, lengths: bytes, block: int, file_ids: int) -> Iterable[tuple]:
+    """Codes and writes the documents of one partition, in their order."""
+    rows = iter(rows)
+    first = next(rows, None)
+    if first is not None:
+        part = first[0]
+        coded = _coded((row[1:] for row in chain([first], rows)), lengths, block)
+        yield from _written(((part, *row) for row in coded), folder, lengths, block, file_ids)
+
+
 def write_tokens(tokens: DataFrame, folder: str, limit: int = LIMIT, block: int = BLOCK, file_ids: int = FILE_IDS) -> DataFrame:
     """Writes the files in ascending order of document id and returns their list, with the ids before each file.
 
@@ -275,21 +286,20 @@ def write_tokens(tokens: DataFrame, folder: str, limit: int = LIMIT, block: int
     """
     counts = global_counts(tokens)
     lengths = code_lengths(counts, limit).tobytes()
-    coded = arrow_map(tokens, _coded, "doc_id long, n long, payload binary, offsets binary", lengths, block)
     parts = max(1, min(int(counts.sum()) // file_ids + 1, 1 << 16))
-    coded = settled_order(coded, parts)
+    # Ordered before they are coded: the sampling for ranges then costs a read and not a coding.
     files = arrow_map(
-        coded.select(F.spark_partition_id().alias("part"), "doc_id", "n", "payload", "offsets"),
-        _written, "part int, seq int, path string, n_docs long, n_ids long", folder, lengths, block, file_ids,
+        in_order(tokens, parts).select(F.spark_partition_id().alias("part"), "doc_id", "planes", "n"),
+        _coded_files, "part int, seq int, path string, n_docs long, n_ids long", folder, lengths, block, file_ids,
     )
     files = settled(files, "token-files")
     before = W.orderBy("part", "seq").rowsBetween(W.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
 
-def settled_order(coded: DataFrame, parts: int) -> DataFrame:
-    tie = F.xxhash64("payload")
-    return coded.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
+def in_order(tokens: DataFrame, parts: int) -> DataFrame:
+    tie = F.xxhash64("planes")
+    return tokens.repartitionByRange(parts, F.col("doc_id").asc_nulls_first(), tie).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), tie)
 
 
 def _read(rows: Iterator[tuple]) -> Iterable[tuple]:
