@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import secrets
 from collections.abc import Callable
 
 import public_tokenizers
@@ -14,9 +15,13 @@ from trendloom.llm.frames import settled
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Where no secret is set, surrogates are made with one that this process draws and nobody knows.
+_DRAWN = secrets.token_hex(32)
+
+
 def _key() -> bytes:
-    """The secret that surrogates are made with; a fixed one where none is set, as in tests."""
-    return os.environ.get("SURROGATE_KEY", "a key for tests").encode("utf-8")
+    """The secret that surrogates are made with. Set ``SURROGATE_KEY`` for surrogates that agree from run to run."""
+    return (os.environ.get("SURROGATE_KEY") or _DRAWN).encode("utf-8")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
