@@ -14,9 +14,9 @@ import pyarrow.compute as pc
 #: Chunks in one generation of what a worker remembers, and the longest one it remembers, in characters.
 REMEMBERED, LONGEST = 500_000, 100
 #: Of a library encoder: bytes of words in one generation, and what a word takes besides its letters.
-REMEMBERED_BYTES, ENTRY_BYTES = 48 << 20, 220
+REMEMBERED_BYTES, ENTRY_BYTES = 20 << 20, 220
 #: Characters of texts that are best given to a library encoder at once.
-PORTION_TEXT = 5 << 20
+PORTION_TEXT = 4 << 20
 
 #: A space that has white space or an end beside it.
 _LOOSE = re.compile(r" (?:(?!\S)|(?<!\S ))")

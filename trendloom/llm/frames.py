@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 from trendloom.session import shared_folder
 
-#: Bytes after which a batch is handed on.
-BATCH_BYTES = 16 << 20
+#: Bytes after which a batch is handed on, and bytes of a batch that are made Python objects at once.
+BATCH_BYTES, ROWS_BYTES = 16 << 20, 2 << 20
 
 
 def settled(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -70,7 +70,9 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for batch in batches:
-        yield from zip(*[c.to_pylist() for c in batch.columns])
+        step = max(1, len(batch) * ROWS_BYTES // max(ROWS_BYTES, batch.nbytes))
+        for i in range(0, len(batch), step):
+            yield from zip(*[c.to_pylist() for c in batch.slice(i, step).columns])
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
