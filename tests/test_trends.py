@@ -182,4 +182,5 @@ def test_limited_to_an_aggregate(spark):
         opts = every.limited(name)
         got = sorted(map(tuple, roll_up(span_cells(rows, opts), opts.intervals).collect()))
         assert got == sorted(c for c in cells if c[1] == name) and got
-    assert "low" not in span_cells(rows, every.limited("Count"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "duration_us" in span_cells(rows, every)._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS low#" not in span_cells(rows, every.limited("Count"))._jdf.queryExecution().optimizedPlan().toString()
