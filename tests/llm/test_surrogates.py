@@ -130,3 +130,32 @@ def test_awkward(spark):
     assert S.without_personal_data(awkward(spark, []), b"k").count() == 0
     with pytest.raises(ValueError):
         S.pseudonymised(awkward(spark), b"")
+
+
+def test_names_agree_part_by_part(spark):
+    """Who shares a part of a name shares its surrogate; different names stay different, in gender and script."""
+    names = ["m|John Smith", "m|Smith", "f|Smith", "m|John Jones", "m|J. Smith", "m|K. Smith", "f|Ольга Петрова", "m|Петров", "f|Μαρία Παππά", "m|Γιώργος Παππάς"]
+    names += [f"m|{a}{b} {c}{d}" for a in ("Ja", "Ke", "Lo", "Mi", "Nu", "Pa") for b in ("ck", "nn", "ris", "tt") for c in ("Bro", "Cla", "Dun") for d in ("wn", "rk", "can")]
+    found = spark.createDataFrame([("person", n) for n in names], "kind string, value string")
+    new = {v: n for _, v, n in rows_of(S.coreferent(found, b"k"))}
+    assert set(new) == set(names) and len(set(new.values())) == len(names) and not set(new.values()) & set(names)
+    assert new["m|John Smith"].split()[-1] == new["m|Smith"][2:] == new["f|Smith"][2:] == new["m|K. Smith"].split()[-1]
+    assert new["m|John Smith"].split()[0] == new["m|John Jones"].split()[0]
+    assert re.fullmatch("m.[A-Z][.] [A-Z][a-z]+", new["m|J. Smith"])
+    for name in names:
+        assert S._script(name[2:]) == S._script(new[name][2:]) and new[name][:2] == name[:2]
+    assert new["f|Ольга Петрова"].endswith("а") and S.entities("Mr " + new["m|John Smith"][2:])[0][3] == new["m|John Smith"]
+    assert rows_of(S.coreferent(found.limit(0), b"k")) == []
+
+
+def test_numbers_keep_their_checks_and_addresses_their_class():
+    def valid(iban):
+        return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+
+    good, bad = "DE89370400440532013000", "DE88370400440532013000"
+    assert valid(good) and not valid(bad)
+    for counter in range(20):
+        assert valid(S.surrogate(b"k", "iban", good, counter)) and not valid(S.surrogate(b"k", "iban", bad, counter))
+        assert S.surrogate(b"k", "ip", "10.1.2.3", counter).startswith("10.")
+        assert S.surrogate(b"k", "ip", "192.168.1.1", counter).startswith("192.168.")
+        assert S.surrogate(b"k", "ip", "172.31.0.9", counter).startswith("172.31.")

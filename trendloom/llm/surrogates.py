@@ -29,11 +29,14 @@ FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mademoi
 FIRST_NAMES = {
     ("latin", "m"): ("Adrian", "Bruno", "Colin", "Damian", "Edgar", "Felix", "Gavin", "Hugo", "Ivan", "Jonas", "Konrad", "Leon", "Marcus", "Nolan", "Oscar", "Pablo", "Quentin", "Ruben", "Simon", "Tobias"),
     ("latin", "f"): ("Alma", "Bianca", "Clara", "Diana", "Elena", "Flora", "Greta", "Helena", "Irene", "Julia", "Karla", "Lucia", "Marta", "Nadia", "Olivia", "Paula", "Rosa", "Silvia", "Teresa", "Vera"),
+    ("greek", "m"): ("Άγγελος", "Γιώργος", "Δημήτρης", "Θωμάς", "Κώστας", "Λεωνίδας", "Νίκος", "Πέτρος", "Σπύρος", "Χρήστος"),
+    ("greek", "f"): ("Άννα", "Βασιλική", "Γεωργία", "Δήμητρα", "Ειρήνη", "Ζωή", "Κατερίνα", "Μαρία", "Σοφία", "Χριστίνα"),
     ("cyrillic", "m"): ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Игорь", "Кирилл", "Максим", "Роман"),
     ("cyrillic", "f"): ("Алина", "Вера", "Галина", "Дарья", "Елена", "Инна", "Лидия", "Марина", "Нина", "Ольга"),
 }
 FAMILY_PARTS = {
     "latin": (("Bel", "Cor", "Dal", "Fen", "Gar", "Hol", "Lam", "Mar", "Nor", "Pel", "Ros", "Sel", "Tor", "Val", "Wen"), ("ba", "de", "ga", "le", "mo", "na", "pe", "ri", "so", "ta"), ("ler", "man", "nik", "ton", "rand", "sen", "well", "ford", "berg", "mont")),
+    "greek": (("Αλεξ", "Βασ", "Γαλ", "Δημ", "Καρ", "Λαμπ", "Μαν", "Νικ", "Παπ", "Σταμ"), ("α", "ε", "ι", "ο"), ("ρας", "κης", "νος", "δης", "λος")),
     "cyrillic": (("Бел", "Вор", "Гор", "Дан", "Зай", "Кор", "Лаз", "Мар", "Ник", "Пет"), ("а", "е", "и", "о", "у"), ("нов", "лев", "рин", "сов", "тов")),
 }
 
@@ -140,6 +143,62 @@ def _check_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def _iban_check(country: str, body: str) -> str:
+    """The two digits that make the number, its country behind it, 1 modulo 97."""
+    return f"{98 - int(''.join(str(int(c, 36)) for c in body + country + '00')) % 97:02d}"
+
+
+def _kept_of_address(value: str) -> list[str]:
+    """The parts of an address that make it a private or a local one: a surrogate has them too."""
+    parts = value.split(".")
+    if parts[0] in ("10", "127"):
+        return parts[:1]
+    private = parts[:2] in (["192", "168"], ["169", "254"]) or (parts[0] == "172" and 16 <= int(parts[1]) < 32)
+    return parts[:2] if private else []
+
+
+def _script(word: str) -> str:
+    return "cyrillic" if re.search("[\u0400-\u052f]", word) else "greek" if re.search("[\u0370-\u03ff\u1f00-\u1fff]", word) else "latin"
+
+
+def _words(value: str) -> tuple[str, list[str]]:
+    """Gender, and the words of a name at even places with what is between them."""
+    gender, _, name = value.partition("|")
+    return gender, re.split(rf"({_GAP}|(?<=\.))", name)
+
+
+def _initial(word: str) -> bool:
+    return len(word) < 3 and word[-1:] in ("", ".") and all(c.lower() in LOWER + GREEK + CYRILLIC for c in word[:-1])
+
+
+def name_parts(value: str) -> list[tuple[str, str]]:
+    """``(kind, part)`` of the words of a canonical name but its initials: the last one is the family's, the others are given.
+
+    A part has a surrogate of its own, so that ``John Smith`` and ``Smith`` share one. Its gender goes with it where names show it.
+    """
+    gender, words = _words(value)
+    last = len(words) - 1
+    shown = gender if _script(words[last]) == "cyrillic" and gender == "f" else ""
+    return [("family", f"{shown}|{w}") if i == last else ("given", f"{gender}|{w}") for i, w in enumerate(words) if i == last or not (i % 2 or _initial(w))]
+
+
+def composed(key: bytes, value: str, parts: list[str]) -> str:
+    """A name's surrogate from those of its parts. Initials go by a keyed order of their alphabet, so different ones stay so."""
+    gender, words = _words(value)
+    rest = iter(parts)
+
+    def turned(word: str) -> str:
+        if not word[:-1]:
+            return word
+        low = word[0].lower()
+        pool = next(p for p in (LOWER, GREEK, CYRILLIC) if low in p)
+        order = sorted(pool, key=lambda c: hmac.new(key, f"initial|{c}".encode(), hashlib.sha256).digest())
+        return order[pool.index(low)].upper() + word[1:]
+
+    last = len(words) - 1
+    return f"{gender}|" + "".join(w if i % 2 else turned(w) if i < last and _initial(w) else next(rest).partition("|")[2] for i, w in enumerate(words))
+
+
 def surrogate(key: bytes, kind: str, value: str, counter: int = 0) -> str:
     """The surrogate of a canonical form, as a canonical form itself."""
     stream = _Stream(key, kind, value, counter)
@@ -149,7 +208,8 @@ def surrogate(key: bytes, kind: str, value: str, counter: int = 0) -> str:
         *labels, top = host.split(".")
         return f"{_alike(stream, local)}{grown}@{'.'.join(_alike(stream, x) for x in labels)}.{top}"
     if kind == "ip":
-        return ".".join(str(stream.below(256)) for _ in range(4))
+        kept = _kept_of_address(value)
+        return ".".join(kept + [str(stream.below(256)) for _ in range(4 - len(kept))])
     if kind == "card":
         valid = len(value) > 1 and _check_digit(value[:-1]) == value[-1]
         body = "".join(stream.of(DIGITS) for _ in value[:-1]) + grown
@@ -158,16 +218,19 @@ def surrogate(key: bytes, kind: str, value: str, counter: int = 0) -> str:
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+", value):
         return "".join(stream.of("0123456789abcdef") for _ in value) + grown
     if kind == "iban":
-        return value[:2] + _alike(stream, value[2:]) + grown
+        body = _alike(stream, value[4:]) + grown
+        check = _iban_check(value[:2], body)
+        return value[:2] + (check if _iban_check(value[:2], value[4:]) == value[2:4] else f"{(int(check) + 1 + stream.below(96)) % 100:02d}") + body
+    if kind == "given":
+        gender, _, word = value.partition("|")
+        names = FIRST_NAMES[_script(word), gender]
+        return f"{gender}|{stream.of(names)}{''.join(stream.of(names).lower() for _ in range(counter))}"
+    if kind == "family":
+        gender, _, word = value.partition("|")
+        heads, middles, tails = FAMILY_PARTS[_script(word)]
+        return f"{gender}|{stream.of(heads)}{''.join(stream.of(middles) for _ in range(1 + counter))}{stream.of(tails)}{'а' if gender == 'f' else ''}"
     if kind == "person":
-        gender, _, name = value.partition("|")
-        script = "cyrillic" if re.search("[\u0400-\u052f]", name) else "latin"
-        heads, middles, tails = FAMILY_PARTS[script]
-        family = stream.of(heads) + "".join(stream.of(middles) for _ in range(1 + counter // 2)) + stream.of(tails)
-        family += "а" if script == "cyrillic" and gender == "f" else ""
-        words = re.split(rf"({_GAP}|(?<=\.))", name)
-        names = [family if i == len(words) - 1 else w if i % 2 else _alike(stream, w) if w[-1:] in ("", ".") else stream.of(FIRST_NAMES[script, gender]) for i, w in enumerate(words)]
-        return f"{gender}|{''.join(names)}"
+        return composed(key, value, [surrogate(key, *part, counter) for part in name_parts(value)])
     return _alike(stream, value) + grown
 
 
@@ -212,6 +275,31 @@ def surrogates_of(found: DataFrame, key: bytes, first: int = 0, limit: int = 64)
             raise ValueError("no free surrogates are left for some entities")
 
 
+def _taken_apart(rows: Iterator[tuple]) -> Iterable[tuple]:
+    for (value,) in rows:
+        for place, (kind, part) in enumerate(name_parts(value)):
+            yield value, place, kind, part
+
+
+def _put_together(rows: Iterator[tuple], key: bytes) -> Iterable[tuple]:
+    for value, parts in rows:
+        yield "person", value, composed(key, value, [p["new"] for p in parts])
+
+
+def coreferent(found: DataFrame, key: bytes) -> DataFrame:
+    """``kind, value, new`` for distinct entities, names part by part: who shares a part of a name shares its surrogate.
+
+    Different parts get different surrogates, so different names do, too.
+    """
+    names = found.where("kind = 'person'").select("value")
+    parts = settled(arrow_map(names, _taken_apart, "name string, place int, kind string, value string"), "name-parts")
+    others = found.where("kind <> 'person'").select("kind", "value")
+    made = surrogates_of(settled(others.union(parts.select("kind", "value").distinct()), "distinct"), key)
+    whole = parts.join(made, ["kind", "value"]).groupBy("name").agg(F.sort_array(F.collect_list(F.struct("place", "new"))).alias("parts"))
+    whole = arrow_map(whole, _put_together, "kind string, value string, new string", key)
+    return made.where("kind NOT IN ('given', 'family')").select("kind", "value", "new").union(whole)
+
+
 SPANS = T.ArrayType(
     T.StructType().add("start", T.IntegerType()).add("end", T.IntegerType()).add("kind", T.StringType()).add("value", T.StringType())
 )
@@ -247,7 +335,7 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     touched = marked.where(F.size("spans") > 0).withColumn("uid", F.monotonically_increasing_id())
     touched = settled(touched, "touched", compression="zstd")  # from here on the numbers are fixed
     places = touched.select("uid", F.explode("spans").alias("s")).select("uid", "s.*")
-    names = surrogates_of(settled(places.select("kind", "value").distinct(), "entities"), key)
+    names = coreferent(settled(places.select("kind", "value").distinct(), "entities"), key)
     new = places.join(names, ["kind", "value"]).groupBy("uid").agg(F.collect_list(F.struct("start", "end", "kind", "new")).alias("new_spans"))
     changed = touched.join(new, "uid").select("row", _rewritten("text", "new_spans").alias("new_text"), F.size("new_spans").cast("long").alias("n_entities"))
     return clean.union(changed)
