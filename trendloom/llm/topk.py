@@ -38,12 +38,12 @@ def _blocks(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
     ids: list[int] = []
     held: list[list[int]] = []
 
-    def block() -> tuple:
+    def block() -> tuple:  # its first id is its name, as ids are distinct
         width = max(map(len, held))
         out = np.zeros((width, len(held)), np.int64)
         for i, v in enumerate(held):
             out[: len(v), i] = v
-        return np.array(ids, "<i8").tobytes(), out.astype("<i8").tobytes(), width
+        return ids[0], np.array(ids, "<i8").tobytes(), out.astype("<i8").tobytes(), width
 
     for key, q in rows:
         ids.append(key)
@@ -114,7 +114,7 @@ def top_k(vectors: DataFrame, query: str, k: int = 20, key: str = "vec_id", vect
     share of all rows as queries needs; what moves is blocks, never pairs of rows.
     """
     table = settled(scaled(vectors, key, vector), "scaled")
-    width = "ids binary, block binary, width int"
+    width = "first long, ids binary, block binary, width int"
     blocks = settled(arrow_map(table, _blocks, width, CANDIDATES), "blocks")
     asked = table.where(query)
     asked = asked.repartition(max(1, -(-asked.count() // QUERIES)))
@@ -123,9 +123,9 @@ def top_k(vectors: DataFrame, query: str, k: int = 20, key: str = "vec_id", vect
     names = F.sequence(F.lit(0), F.lit(n_blocks - 1))
     if not n_blocks:
         return table.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    # Blocks are few (one for each 8192 vectors); their numbers are ranks of their smallest id.
-    order = blocks.select("ids").withColumn("block_no", F.row_number().over(W.orderBy("ids")) - 1)
-    numbered = blocks.join(order, "ids")
+    # Blocks are few (one for each 8192 vectors); their numbers are ranks of their names, a long each.
+    order = blocks.select("first").withColumn("block_no", F.row_number().over(W.orderBy("first")) - 1)
+    numbered = blocks.join(order, "first")
     spread = queries.select(F.col("ids").alias("query_ids"), F.col("block").alias("queries"), F.col("width").alias("query_width"), F.explode(names).alias("block_no"))
     met = spread.join(numbered.select("block_no", "ids", "block", "width"), "block_no").repartition(max(1, 2 * table.sparkSession.sparkContext.defaultParallelism))
     found = arrow_map(met.drop("block_no"), _searched, "query_id long, vec_id long, score long", k)
