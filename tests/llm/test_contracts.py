@@ -110,7 +110,8 @@ def test_op2_chain_and_groups(spark):
 def test_op2_left_over_members(spark, monkeypatch):
     """Copies of a text that is not there itself: with one hub and small blocks, the last comparison has links to find."""
     monkeypatch.setattr(minhash, "HUBS", 1)
-    monkeypatch.setattr(minhash, "BLOCK", 6)
+    monkeypatch.setattr(minhash, "BLOCK", 6_000)
+    monkeypatch.setattr(minhash, "SPREAD", 5)
     draw = random.Random(4)
     docs = []
     for group in range(4):

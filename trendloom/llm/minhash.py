@@ -3,10 +3,11 @@
 1. Documents with the same set of shingles are one class; only its smallest id goes on.
 2. A class has ``BANDS * ROWS`` minima of universal hashes. Classes that share a band are candidates. At the threshold a
    pair is missed with probability (1 - 0.8**4)**40, below 1e-9.
-3. First each class is paired with one hub of its bucket, then with a second and third one if it is still in another
-   component, so a large group costs a few pairs for each member. Only members that are then still in different components
-   are paired among themselves, if their signatures allow it.
-4. Links are confirmed on full sets, and components found by alternating large-star and small-star steps.
+3. First each class is paired with one hub of its bucket, then with a second one if it is still in another component, so a
+   large group costs a few pairs for each member. Pairs are verified by signature, then confirmed on full sets.
+4. Members that are then still in different components meet in blocks. A block verifies by longer signatures, confirms on
+   full sets, and hands on only links that join what was apart, so its rows never exceed its members.
+5. Components are found by alternating large-star and small-star steps.
 """
 
 from __future__ import annotations
@@ -25,12 +26,11 @@ from trendloom.llm.frames import arrow_map, carried, column, portions, settled
 
 BANDS, ROWS = 40, 4
 #: Members of a bucket that are paired with all others before the rest is paired among itself.
-HUBS = 3
-#: Minima, of a byte each, by which the last pairs are verified before their sets are: at the threshold, agreement is below
-#: it by the margin, six deviations, in one case of a billion. Members of a block of a large bucket.
-LONG, LONG_MARGIN, BLOCK = 1024, 0.075, 1024
-#: Documents of a block when sets are compared.
-SETS = 512
+HUBS = 2
+#: Minima of the longer signatures, and bytes of the sets of a block.
+LONG, BLOCK = 1024, 2 << 20
+#: Members that are compared with one copy of their hub's set.
+SPREAD = 2000
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -87,7 +87,7 @@ def _signed(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
         packed = ids.astype("<u8").tobytes()
         signature = minima(ids)
         bands = [xxhash.xxh64_intdigest(signature[i : i + ROWS].tobytes(), seed=i) - (1 << 63) for i in range(0, len(signature), ROWS)]
-        yield key, len(ids), xxhash.xxh128_digest(packed), signature.tobytes(), bands
+        yield key, len(ids), xxhash.xxh128_digest(packed), signature.astype(np.uint8).tobytes(), bands
 
 
 def _sets(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
@@ -97,48 +97,84 @@ def _sets(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
 
 def _lengthened(rows: Iterator[tuple]) -> Iterable[tuple]:
     for key, ids in rows:
-        yield key, minima(np.frombuffer(ids, "<u8"), LONG).astype(np.uint8).tobytes()
+        yield key, ids, minima(np.frombuffer(ids, "<u8"), LONG).astype(np.uint8).tobytes()
 
 
-def _agreeing(table: pa.Table, percent: int) -> pa.Table:
-    """The pairs of one block, or between two, whose signatures allow a link."""
+def _agreement(percent: int, count: int) -> float:
+    """Least share of equal minima, of a byte each: at the threshold it is below this, by six deviations, in one case of a billion."""
+    return percent / 100 - 6 * (percent / 100 * (1 - percent / 100) / count) ** 0.5
+
+
+def verified(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` whose signatures (``key, signature``) allow a link."""
+    least = _agreement(percent, BANDS * ROWS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for c in ("x", "y"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).mean(axis=1) >= least))
+
+    both = pairs.join(signatures.select(F.col("key").alias("a"), F.col("signature").alias("x")), "a")
+    both = both.join(signatures.select(F.col("key").alias("b"), F.col("signature").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _joining(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one block, or between two, that join components: a forest, so fewer than there are members."""
     low, high = table["low"][0].as_py(), table["high"][0].as_py()
-    key, n, part, block = (table[c].to_numpy() for c in ("key", "n", "component", "block"))
-    signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(len(key), LONG)
+    key, n, block = (table[c].to_numpy() for c in ("key", "n", "block"))
+    names, part = np.unique(table["component"].to_numpy(), return_inverse=True)
+    root = np.arange(len(names))
+    signatures = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, LONG)
+    # Shingles as small numbers; the set of member i is codes[starts[i] : starts[i + 1]].
+    words, codes = np.unique(np.frombuffer(b"".join(table["ids"].to_pylist()), "<u8"), return_inverse=True)
+    starts = np.concatenate([[0], np.cumsum(n)])
+    marked = np.zeros(len(words), np.int64)
+    links: list[tuple[int, int]] = []
     left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    found: list[np.ndarray] = []
     for i in left.tolist():
-        near = right[(part[right] != part[i]) & (100 * np.minimum(n[right], n[i]) >= percent * np.maximum(n[right], n[i]))]
-        near = near[key[near] < key[i]] if low == high else near
-        if len(near):
-            near = near[(signatures[near] == signatures[i]).mean(axis=1) >= percent / 100 - LONG_MARGIN]
-            found.append(np.stack([np.maximum(key[near], key[i]), np.minimum(key[near], key[i])]))
-    both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    return pa.table({"a": both[0].astype(np.int64), "b": both[1].astype(np.int64)})
+        others = right[right < i] if low == high else right
+        near = others[(root[part[others]] != root[part[i]]) & (100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i]))]
+        near = near[(signatures[near] == signatures[i]).mean(axis=1) >= _agreement(percent, LONG)]
+        if not len(near):
+            continue
+        own = codes[starts[i] : starts[i + 1]]
+        marked[own] = 1
+        for j in near.tolist():
+            if root[part[i]] != root[part[j]]:
+                both = int(marked[codes[starts[j] : starts[j + 1]]].sum())
+                if 100 * both >= percent * (n[i] + n[j] - both):
+                    links.append((max(key[i], key[j]), min(key[i], key[j])))
+                    root[root == root[part[j]]] = root[part[i]]
+        marked[own] = 0
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
-def _likely(members: DataFrame, long: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of a bucket in different components whose long signatures allow a link.
+def joining(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that join components of ``members`` (``key, n, bucket, component``), on full sets. ``members`` must be a written table.
 
-    A large bucket is dealt to blocks, and each two blocks meet in a task of their own: a member is sent once for each block,
-    never once for each other member, and no task holds more than two blocks.
+    Members that reach each other by buckets are a group, and groups are dealt to blocks of bounded size. The largest
+    component of a group has blocks of its own, which never meet each other. Two blocks meet in a task of their own, which
+    gets the members that share a bucket with the other block, each once, however many buckets that is.
     """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    rows = rows.select("bucket", "key", "n", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.join(long, "key").select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "component", "signature")
-    return rows.groupBy("bucket", "low", "high").applyInArrow(lambda table: _agreeing(table, percent), "a long, b long")
-
-
-def _linked(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
-    found = {k: np.frombuffer(v, "<u8") for k, v in zip(sets["key"].to_pylist(), sets["ids"].to_pylist())}
-    links = []
-    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
-        x, y = found[a], found[b]
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        if 100 * both >= percent * (len(x) + len(y) - both):
-            links.append((a, b))
-    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    hubs = members.groupBy("bucket").agg(F.min("key").alias("b"))
+    groups = components(members.join(hubs, "bucket").select(F.col("key").alias("a"), "b").distinct())
+    grouped = settled(members.join(groups.select("key", F.col("component").alias("group")), "key"), "grouped")
+    once = grouped.select("group", "key", "n", "component").distinct()
+    parts = once.groupBy("group", "component").agg(F.sum("n").alias("size"))
+    large = parts.groupBy("group").agg(F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("size"))
+    count = [F.ceil(8 * size / BLOCK).cast("int") for size in (F.col("top.size"), F.col("size") - F.col("top.size"))]
+    large = large.select("group", F.col("top.component").alias("main"), count[0].alias("mains"), count[1].alias("others"))
+    number = F.when(F.col("component") == F.col("main"), F.pmod(F.xxhash64("key"), F.col("mains"))).otherwise(F.col("mains") + F.pmod(F.xxhash64("key"), F.col("others")))
+    dealt = grouped.join(large, "group").select("group", "key", "n", "component", "bucket", "mains", number.cast("int").alias("block"))
+    dealt = settled(dealt, "dealt")
+    met = dealt.select("bucket", F.col("block").alias("other")).distinct()
+    rows = dealt.join(met, "bucket").where("block >= mains OR other >= mains")
+    rows = rows.select("group", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "key", "n", "component").distinct()
+    # Where all of a meeting is of one component there is nothing to join.
+    apart = rows.groupBy("group", "low", "high").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").drop("x", "y")
+    rows = rows.join(apart, ["group", "low", "high"], "left_semi").join(sets, "key")
+    return rows.groupBy("group", "low", "high").applyInArrow(lambda table: _joining(table, percent), "a long, b long")
 
 
 def _close(a: str, b: str, percent: int) -> Column:
@@ -146,20 +182,29 @@ def _close(a: str, b: str, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _linked(rows: Iterator[tuple], percent: int) -> Iterable[tuple]:
+    hub = np.zeros(0, np.uint64)
+    for a, b, ids in rows:
+        found = np.frombuffer(ids, "<u8")
+        if a is None:
+            hub = found
+            continue
+        both = len(np.intersect1d(hub, found, assume_unique=True))
+        if 100 * both >= percent * (len(hub) + len(found) - both):
+            yield a, b
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` whose full sets are similar. ``pairs`` must be a written table.
 
-    Documents are dealt to blocks, and pairs to pairs of blocks. A set is sent once to each pair of blocks that needs it: for
-    a hub or a dense group that is far less than once for each pair, and never more.
+    ``b`` is a hub: its set goes before those of its members, once for each ``SPREAD`` of them, so that a task holds one set
+    at a time and a hub of any number of members is spread.
     """
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("key"))
-    blocks = ends.distinct().count() // SETS + 1
-    a, b = F.pmod(F.xxhash64("a"), F.lit(blocks)), F.pmod(F.xxhash64("b"), F.lit(blocks))
-    dealt = pairs.select(F.least(a, b).alias("low"), F.greatest(a, b).alias("high"), "a", "b")
-    wanted = dealt.select(F.col("low").alias("one"), F.col("high").alias("two"), F.explode(F.array("a", "b")).alias("key")).distinct()
-    sent = wanted.join(sets, "key").select("one", "two", "key", "ids")
-    both = dealt.groupBy("low", "high").cogroup(sent.groupBy("one", "two"))
-    return both.applyInArrow(lambda some, full: _linked(some, full, percent), "a long, b long")
+    spread = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SPREAD).alias("salts"))
+    dealt = pairs.join(spread, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"))
+    ends = dealt.select("a", "b", "salt", F.col("a").alias("key")).union(dealt.select(F.lit(None).cast("long"), "b", "salt", "b").distinct())
+    sent = ends.join(sets, "key").select("a", "b", "salt", "ids").repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
+    return arrow_map(sent.select("a", "b", "ids"), _linked, "a long, b long", percent)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -230,13 +275,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     # the most others, which in a group of edited copies is the one they were made from.
     weight = shared.groupBy("key").agg(F.sum("members").alias("met"))
     members = settled(shared.join(weight, "key").select("key", "n", "bucket", F.struct("met", (-F.col("key")).alias("less")).alias("turn")), "members")
+    signatures = single.select("key", "signature").join(sets.select("key"), "key", "left_semi")
     links = parts = None
     for _ in range(HUBS):
         hubs = members.groupBy("bucket").agg(F.max(F.struct("turn", "key", "n", "component") if parts is not None else F.struct("turn", "key", "n")).alias("hub"))
         pairs = members.join(hubs, "bucket").where(F.col("turn") < F.col("hub.turn"))
         pairs = pairs if parts is None else pairs.where(F.col("component") != F.col("hub.component"))
         pairs = pairs.where(_close("n", "hub.n", percent)).select(F.col("key").alias("a"), F.col("hub.key").alias("b")).distinct()
-        found = settled(confirmed(settled(pairs, "hub-pairs"), sets, percent), "links")
+        pairs = settled(verified(pairs, signatures, percent), "hub-pairs")
+        found = settled(confirmed(pairs, sets, percent), "links")
         links = found if links is None else links.union(found)
         parts = settled(components(links), "parts")
         # What stays open: members after the hub, in buckets where they are still in different components.
@@ -245,11 +292,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         open_ = rest.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
         members = settled(rest.join(open_, "bucket", "left_semi"), "members")
 
-    # The few that are left are paired among themselves, where their signatures allow it.
+    # What is left meets in blocks.
     long = sets.join(members.select("key").distinct(), "key", "left_semi")
-    long = settled(arrow_map(long, _lengthened, "key long, signature binary"), "long-signatures")
-    likely = settled(_likely(members, long, percent).distinct(), "likely")
-    more = settled(confirmed(likely, sets, percent), "links")
+    long = settled(arrow_map(long, _lengthened, "key long, ids binary, signature binary"), "long-signatures", compression="zstd")
+    more = settled(joining(members, long, percent), "links")
     if more.limit(1).count():
         parts = settled(components(links.union(more)), "parts")
 
