@@ -127,6 +127,39 @@ def test_op2_left_over_members(spark, monkeypatch):
     assert got == want
 
 
+def _meeting(sets, components, block):
+    """A table of one meeting of blocks 0 and 1, or of block 0 with itself, as the tasks get it."""
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [np.unique(np.array(sorted(s), "<u8")) for s in sets]
+    return pa.table({
+        "low": [0] * len(rows), "high": [max(block)] * len(rows), "block": block, "key": list(range(len(rows))), "n": [len(r) for r in rows],
+        "component": components, "ids": [r.tobytes() for r in rows],
+        "signature": [minhash.minima(r, minhash.LONG).astype(np.uint8).tobytes() for r in rows],
+    })
+
+
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_op2_blocks_hand_on_a_forest(blocks):
+    """Alike members give links fewer than themselves; members of one component, and those below the threshold, give none."""
+    draw = random.Random(7)
+    ids = [draw.getrandbits(63) for _ in range(400)]
+    alike = [set(ids[:100]) | {draw.getrandbits(63)} for _ in range(60)]
+    unlike = [set(draw.sample(ids, 100)) for _ in range(20)]
+    sets, block = alike + unlike, [i % blocks for i in range(80)]
+    links = minhash._joining(_meeting(sets, list(range(80)), block), 80).to_pylist()
+    assert len(links) == 59 and all(r["b"] < r["a"] < 60 for r in links)
+    root = list(range(80))
+    for r in links:
+        old, new = root[r["a"]], root[r["b"]]
+        root = [new if x == old else x for x in root]
+    assert len(set(root[:60])) == 1
+    joined = [0 if i < 59 else i for i in range(80)]
+    assert [{r["a"], r["b"]} & {59} for r in minhash._joining(_meeting(sets, joined, block), 80).to_pylist()] == [{59}]
+    assert minhash._joining(_meeting(sets, [0] * 80, block), 80).num_rows == 0
+
+
 def test_op2_awkward(spark):
     got = rows_of(minhash.near_duplicates(awkward(spark)))
     want = models.near_duplicates([(d, t) for d, t in AWKWARD if d is not None])
