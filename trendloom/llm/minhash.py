@@ -248,6 +248,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     Documents with no word are linked with nothing. Rows without an id are left apart: they get no component and are kept.
     Rows that repeat an id are one document, with the greatest of their texts, and get one row. An empty table gives an
     empty table. Other columns are not read. ``docs`` should be a table, as it is read again for the sets.
+    A very long text is one set, compared whole; a block of the last comparison may exceed its bytes by such a set.
     """
     rows = docs.select(column(key).cast("long").alias("key"), column(text).cast("string").alias("text"))
     known = rows.where("key IS NOT NULL")
