@@ -335,6 +335,17 @@ def test_op8_threshold(spark):
     assert [r.kept for r in quality.judged(docs, nothing, threshold=0.0).select("kept").collect()] == [True, True]
 
 
+def test_op8_all_trusted_documents_count(spark):
+    """Every trusted id is in one of the halves, however many there are; quantiles are those of ``percentile``."""
+    halves = quality.trusted_halves(spark.range(50_000).select(F.col("id").alias("doc_id")))
+    assert halves.select("good").distinct().count() == halves.count() == 50_000
+    assert abs(halves.where("half = 0").count() - 25_000) < 1_000
+    scores = spark.range(5_000).select((F.pmod(F.xxhash64("id"), F.lit(3_001)) / 700.0 - 2).alias("score"))
+    shares = [0.0, 0.01, 0.1, 0.37, 0.5, 1.0]
+    want = scores.agg(F.percentile("score", F.array(*map(F.lit, shares)))).first()[0]
+    assert quality.quantiles_of(scores, shares) == pytest.approx(want, abs=1e-12)
+
+
 def test_op8_buckets_grow_with_the_corpus(spark):
     assert quality.buckets_for(awkward(spark, [])) == quality.BUCKETS
     one = spark.range(1).select(F.expr("repeat('abcd', 1 << 20)").alias("text"))

@@ -7,7 +7,10 @@ not by one fixed threshold. Log ratios are whole numbers in units of 1 / ``UNIT`
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom.llm.frames import carried, column, settled
@@ -15,8 +18,6 @@ from trendloom.llm.frames import carried, column, settled
 #: Fewest buckets. There are as many as the square root of the corpus's bytes, as a power of two: see ``buckets_for``.
 BUCKETS = 1 << 16
 UNIT = 1 << 16
-#: Most trusted documents that the target is counted from: those with the smallest hashes of their ids.
-TRUSTED = 20_000
 #: N-grams of the raw corpus that the target counts are mixed with.
 PRIOR = 100_000.0
 #: The threshold is a low quantile of the scores of trusted documents that the target was not counted from, less a margin that
@@ -25,6 +26,8 @@ PRIOR = 100_000.0
 QUANTILE, MARGIN, FENCE, DEFAULT = 0.01, 0.01, 2.0, -0.15
 #: Fewest words, and the largest share of repeated words, in percent.
 LEAST_WORDS, MOST_REPEATED = 50, 50
+#: Bins of a unit of score, in which quantiles are looked for.
+BINS = 1024
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -115,19 +118,22 @@ def measured(docs: DataFrame, text: str = "text", **more: Column) -> DataFrame:
     return rows.withColumn("base_failed", failed)
 
 
-def trusted_sample(trusted: DataFrame) -> DataFrame:
-    """``good, half``: at most ``TRUSTED`` ids, those with the smallest hashes, of which half 0 makes the target and half 1
-    sets the threshold. The sample is small enough to broadcast, whatever the input."""
+def trusted_halves(trusted: DataFrame) -> DataFrame:
+    """``good, half``: the ids of all trusted documents, of which half 0 makes the target and half 1 sets the threshold."""
     ids = trusted.select(F.col("doc_id").cast("long").alias("good")).where("good IS NOT NULL").distinct()
-    chosen = ids.orderBy(F.xxhash64("good"), "good").limit(TRUSTED)
-    return settled(chosen.select("good", F.pmod(F.xxhash64(F.lit(8), "good"), F.lit(2)).alias("half")), "trusted")
+    return settled(ids.select("good", F.pmod(F.xxhash64(F.lit(8), "good"), F.lit(2)).alias("half")), "trusted")
+
+
+#: Its name from when it was capped.
+trusted_sample = trusted_halves
 
 
 def log_ratios(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """``bucket, ratio`` for every bucket that occurs. ``target`` has the ids of the target's documents in ``good``. The raw
-    counts cover all documents. Words become rows with their followers before they are hashed, so hashing is compiled code."""
+    counts cover all documents. Words become rows with their followers before they are hashed, so hashing is compiled code.
+    The ids grow with the corpus, so they are dealt with the texts and not broadcast."""
     rows = docs.select(column(key).cast("long").alias("id"), column(text).cast("string").alias("text"))
-    rows = rows.join(F.broadcast(target.select("good")), F.col("id") == F.col("good"), "left")
+    rows = rows.join(target.select("good").hint("shuffle_hash"), F.col("id") == F.col("good"), "left")
     rows = fixed(rows.select("text", F.col("good").isNotNull().cast("long").alias("is_good")), words=words_of(F.col("text")))
     later = F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0)))
     rows = rows.select("is_good", F.explode(F.arrays_zip(F.col("words").alias("word"), later.alias("next"))).alias("w"))
@@ -142,38 +148,82 @@ def log_ratios(docs: DataFrame, target: DataFrame, key: str = "doc_id", text: st
     return counts.join(totals, F.lit(True)).select("bucket", F.round(ratio * UNIT).cast("int").alias("ratio"))
 
 
-def threshold_of(scores: DataFrame) -> float:
-    """The lowest ``score`` that is kept, from scores of trusted documents; see ``QUANTILE``."""
-    low, tenth, middle = scores.agg(F.percentile("score", F.array(F.lit(QUANTILE), F.lit(0.1), F.lit(0.5)))).first()[0] or (None,) * 3
-    return DEFAULT if low is None else max(low - MARGIN, tenth - FENCE * (middle - tenth))
+def quantiles_of(scores: DataFrame, shares: Sequence[float]) -> list[float] | None:
+    """Exact quantiles of ``score``, between two scores in proportion; none of no scores.
 
+    Two passes: bins first, then the ranks inside the bins that hold one. ``percentile`` would hold all scores in one task.
+    """
+    known = scores.where("score IS NOT NULL").select("score", F.floor(F.col("score") * BINS).alias("bin"))
+    bins = known.groupBy("bin").count().orderBy("bin").collect()
+    if not bins:
+        return None
+    last = sum(r["count"] for r in bins) - 1
+    places = {}
+    for rank in {f(share * last) for share in shares for f in (math.floor, math.ceil)}:
+        before = 0
+        for r in bins:
+            if rank < before + r["count"]:
+                places[r["bin"], rank - before + 1] = rank
+                break
+            before += r["count"]
+    held = known.where(F.col("bin").isin([b for b, _ in places]))
+    ranked = held.withColumn("place", F.row_number().over(Window.partitionBy("bin").orderBy("score")))
+    one_of = [(F.col("bin") == b) & (F.col("place") == i) for b, i in places]
+    at = {places[r["bin"], r["place"]]: r["score"] for r in ranked.where(F.array_contains(F.array(*one_of), True)).collect()}
+
+    def quantile(x: float) -> float:
+        low, high = math.floor(x), math.ceil(x)
+        return at[low] if at[low] == at[high] else (high - x) * at[low] + (x - low) * at[high]
+
+    return [quantile(share * last) for share in shares]
 
-def judged(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", threshold: float | None = None, buckets: int | None = None) -> DataFrame:
-    """``row`` (all columns of ``docs``), the counts, ``base_failed``, ``score`` and ``kept``.
 
-    ``trusted`` has the ids of trusted documents in ``doc_id``. Null and empty texts have no words and fail; texts of any length
-    are judged whole. Rows are judged one by one, repeated ones alike; a score at the threshold is kept. Rows without an id
-    count in the raw corpus. Without trusted documents all ratios are 0, so that the simple rules decide alone. An empty table
-    gives an empty table. ``docs`` should be a table, as it is read four times. The ratios, one number for each bucket, are a
-    constant of the plan, so no document is shuffled.
+def threshold_of(scores: DataFrame) -> float:
+    """The lowest ``score`` that is kept, from scores of trusted documents; see ``QUANTILE``."""
+    found = quantiles_of(scores, (QUANTILE, 0.1, 0.5))
+    if found is None:
+        return DEFAULT
+    low, tenth, middle = found
+    return max(low - MARGIN, tenth - FENCE * (middle - tenth))
+
+
+def judged(
+    docs: DataFrame,
+    trusted: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    threshold: float | None = None,
+    buckets: int | None = None,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """``row`` (all columns of ``docs``, or those in ``keep``), the counts, ``base_failed``, ``score`` and ``kept``.
+
+    ``trusted`` has the ids of trusted documents in ``doc_id``; all of them count, half in the target and half for the
+    threshold. Null and empty texts have no words and fail; texts of any length are judged whole. Rows are judged one by one,
+    repeated ones alike; a score at the threshold is kept. Rows without an id count in the raw corpus. Without trusted
+    documents all ratios are 0, so that the simple rules decide alone. An empty table gives an empty table. ``docs`` should be
+    a table, as it is read three times. The ratios, one number for each bucket, are a constant of the plan. Scores are
+    written once, with ``row``, so that those of the held-out half are there before the threshold is.
     """
     buckets = buckets or buckets_for(docs, text)
-    sample = trusted_sample(trusted)
+    halves = trusted_halves(trusted)
     found = [0] * buckets
-    for bucket, ratio in log_ratios(docs, sample.where("half = 0"), key, text, buckets).collect():  # one row for each bucket at most
+    for bucket, ratio in log_ratios(docs, halves.where("half = 0"), key, text, buckets).collect():  # one row for each bucket at most
         found[bucket] = ratio
     table = F.split(F.lit(",".join(map(str, found))), ",").cast("array<int>")  # folded to a constant
+    row = F.col("row") if keep is None else F.struct(*[F.col("row").getField(c).alias(c) for c in keep])
+    counted = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score")
+    rows = _scored(docs, table, text, buckets, id=column(key).cast("long")).select(row.alias("row"), "id", *counted)
     if threshold is None:
-        held = F.broadcast(sample.where("half = 1").select("good"))
-        known = docs.join(held, column(key).cast("long") == F.col("good"), "left_semi")
-        threshold = threshold_of(_scored(known, table, text, buckets).where("NOT base_failed"))
-    rows = _scored(docs, table, text, buckets)
+        rows = settled(rows, "scores")
+        held = halves.where("half = 1").select("good")
+        threshold = threshold_of(rows.where("NOT base_failed").select("id", "score").join(held, F.col("id") == F.col("good"), "left_semi"))
     kept = ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False))
-    return rows.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", kept.alias("kept"))
+    return rows.select("row", *counted, kept.alias("kept"))
 
 
-def _scored(docs: DataFrame, table: Column, text: str, buckets: int) -> DataFrame:
-    rows = fixed(measured(docs, text), grams=grams(F.col("words"), buckets))
+def _scored(docs: DataFrame, table: Column, text: str, buckets: int, **more: Column) -> DataFrame:
+    rows = fixed(measured(docs, text, **more), grams=grams(F.col("words"), buckets))
     total = F.aggregate("grams", F.lit(0).cast("long"), lambda sum_, b: sum_ + F.get(table, b))
     return fixed(rows, score=F.when(F.size("grams") > 0, total / F.size("grams") / UNIT))
 

@@ -60,7 +60,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality.trusted_of(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    found = quality.judged(_documents(spark, sf_dir), trusted)
+    found = quality.judged(_documents(spark, sf_dir), trusted, keep=["doc_id"])
     return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
