@@ -110,3 +110,13 @@ def test_ranks_of_delays(spark, spread):
         some, n = sorted(some), len(some)
         want[t] = (n + (t == "c"), some[0], *[some[max(1, -(-p * n // 100)) - 1] for p in (50, 95, 99)], some[-1])
     assert got == want
+
+
+def test_windows_are_never_the_broadcast_side(spark, tmp_path):
+    """A small table makes its windows look few; they must not go to every task, nor through the task of the dictionary."""
+    stored = latencies(spark, 2_000, 9)
+    store_points(stored, "few_points", str(tmp_path / "few"), buckets=2)
+    rows = stored_trends(spark.table("few_points"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan and "Inner" not in plan
+    assert flat(rows) == flat(point_trends(stored))

@@ -45,7 +45,7 @@ def _dictionary(described: DataFrame) -> DataFrame:
 
 def dictionary_of_points(points: DataFrame) -> DataFrame:
     """The trends of valid points, by the id of their key; ``points`` need ``trend_key``, ``metric`` and ``tags``."""
-    entries = F.array_sort(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>"))))
+    entries = F.sort_array(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>"))))
     kept = valid_points(points).select(trend_id(F.col("trend_key")).alias("trend_key"), "metric", entries.alias("entries"))
     return _dictionary(kept)
 
@@ -82,7 +82,10 @@ def described_stats(wide: DataFrame, trends: DataFrame, opts: TrendOptions) -> D
         (F.col("win_start") + F.col("seconds")).alias("ts_sec"),
         offered_stats(opts).alias("offered"),
     )
-    long = known.join(described, "trend_key").select("*", F.inline_outer("offered").alias("stat", "value"))
+    # Windows are many more than trends, but may be estimated as fewer. From the left side of an outer join they are never
+    # broadcast, nor made into all their statistics by the one task of a small dictionary. Windows without a trend go after it.
+    met = known.join(described, "trend_key", "left").withColumn("offered", F.when(F.col("metric").isNotNull(), F.col("offered")))
+    long = met.select("*", F.inline_outer("offered").alias("stat", "value")).where(F.col("stat").isNotNull())
     tags = F.map_from_arrays(
         F.concat("names", F.array(F.lit(S.TAG_INTERVAL), F.lit(S.TAG_STAT))), F.concat("texts", F.array(F.col("interval"), F.col("stat")))
     )

@@ -54,7 +54,7 @@ def stored_windows(points: DataFrame, opts: TrendOptions | None = None) -> DataF
 
 def stored_dictionary(points: DataFrame) -> DataFrame:
     """What the trends of a bucketed table are called; found inside the buckets, then once per trend."""
-    entries = F.array_sort(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>"))))
+    entries = F.sort_array(F.map_entries(F.coalesce("tags", F.create_map().cast("map<string,string>"))))
     inside = points.select(*PLACE, "metric", entries.alias("entries")).distinct()
     least = inside.groupBy("trend_key").agg(F.min(F.struct("metric", "entries")).alias("d"))
     tags = F.map_from_entries("d.entries")
