@@ -5,6 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue.queries import event_spans
 from tests.helpers import spans, tag
 from tests.test_streams import flat
 from trendloom.operators.dictionary import dictionary_of_points, dictionary_of_spans, trend_id
@@ -74,6 +75,24 @@ def test_span_app(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == len(want)
 
 
+def test_span_app_keeps_no_batch_in_memory(spark, sf_dir, tmp_path, monkeypatch):
+    """Further sinks get what was stored: all rows, once, with no block of a batch that one task would have to read whole."""
+    source = str(tmp_path / "spans")
+    event_spans(spark, sf_dir).drop("event_id").limit(500).write.parquet(source)
+
+    def refused(self, *_):
+        raise AssertionError("a batch is kept")
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.persist", refused)
+    sinks = [Sink("rows", path=str(tmp_path / "rows")), Sink("more", path=str(tmp_path / "more"))]
+    start_span_app(read_spans(spark, source, streaming=True), str(tmp_path / "points"), str(tmp_path / "check"), sinks=sinks).awaitTermination()
+    want = points_of_spans(read_spans(spark, source))
+    for name in ("rows", "more"):
+        got = spark.read.parquet(str(tmp_path / name)).drop("batch_id")
+        assert got.columns == want.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
 def test_required_sinks_stop_a_native_stream(spark, tmp_path):
     source = str(tmp_path / "in")
     put(points_of_spans(some_spans(spark, [5, 400])), source)

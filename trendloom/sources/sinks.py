@@ -72,14 +72,15 @@ def write_one(rows: DataFrame, sink: Sink) -> int:
     return int(seen.get["rows"])
 
 
-def write_fanout(rows: DataFrame, sinks: Sequence[Sink]) -> list[dict]:
+def write_fanout(rows: DataFrame, sinks: Sequence[Sink], keep: bool = True) -> list[dict]:
     """Writes the rows to every enabled sink; a sink that fails is reported and does not stop the others.
 
     The rows are computed once and kept on the executors while there is more than one sink to serve;
-    a lost executor only means that its part is computed again.
+    a lost executor only means that its part is computed again. Without ``keep`` each sink computes them: for rows of a table.
     """
     wanted = [s for s in sinks if s.enabled]
-    shared = rows.persist() if len(wanted) > 1 else rows
+    kept = keep and len(wanted) > 1
+    shared = rows.persist() if kept else rows
     results = []
     try:
         for sink in wanted:
@@ -88,7 +89,7 @@ def write_fanout(rows: DataFrame, sinks: Sequence[Sink]) -> list[dict]:
             except Exception as failure:  # noqa: BLE001 - reported to the caller per sink
                 results.append({"sink": sink.name, "rows": None, "ok": False, "error": str(failure), "optional": sink.optional})
     finally:
-        if len(wanted) > 1:
+        if kept:
             shared.unpersist()
     return results
 
@@ -101,12 +102,12 @@ def batch_sinks(sinks: Sequence[Sink], batch_id: int, label: str = "") -> list[S
     return [s if s.path is None else replace(s, path=f"{s.path}/{label}batch_id={batch_id}", mode="overwrite") for s in sinks]
 
 
-def serve_batch(rows: DataFrame, sinks: Sequence[Sink], batch_id: int, label: str = "", report: str | None = None) -> None:
+def serve_batch(rows: DataFrame, sinks: Sequence[Sink], batch_id: int, label: str = "", report: str | None = None, keep: bool = True) -> None:
     """Writes one batch of a stream to its sinks, and what became of each sink to the table ``report``.
 
     The report of a batch replaces that of an earlier try, and is written before a sink that is not optional stops the query.
     """
-    results = write_fanout(rows, batch_sinks(sinks, batch_id, label))
+    results = write_fanout(rows, batch_sinks(sinks, batch_id, label), keep)
     if report is not None:
         said = [(batch_id, label, r["sink"], r["rows"], r["ok"], r["optional"], (r["error"] or "")[:2000] or None) for r in results]
         written = rows.sparkSession.createDataFrame(said, REPORT).coalesce(1)

@@ -32,20 +32,18 @@ def start_span_app(
 ) -> StreamingQuery:
     """Points of a stream of spans, stored by trend under ``path`` as ``write_points`` does, and sent to further ``sinks``.
 
-    Each batch has a folder of its own, which a repeated batch replaces. Counts of points by kind go to query listeners under
+    Each batch has a folder of its own, which a repeated batch replaces, and further sinks get the rows that were stored there:
+    a batch is computed once, and none of it is kept in memory. Counts of points by kind go to query listeners under
     the name ``points``, see ``streaming.measures``.
     """
     points = observe_points(points_of_spans(spans, opts), "points")
 
     def emit(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist() if sinks else batch
-        try:
-            write_points(rows, f"{path.rstrip('/')}/batch={batch_id}", buckets, mode="overwrite")
-            if sinks:
-                serve_batch(rows, sinks, batch_id, report=report)
-        finally:
-            if sinks:
-                rows.unpersist()
+        folder = f"{path.rstrip('/')}/batch={batch_id}"
+        write_points(batch, folder, buckets, mode="overwrite")
+        if sinks:
+            stored = batch.sparkSession.read.schema(batch.schema).parquet(folder).select(*batch.columns)
+            serve_batch(stored, sinks, batch_id, report=report, keep=False)
 
     return (
         points.writeStream.foreachBatch(emit)
