@@ -32,7 +32,7 @@ from trendloom.plans.trends import point_trends, span_trends, strict_span_trends
 from trendloom.sources.readers import broken_messages, decode_messages, read_points, read_spans
 from trendloom.sources.sinks import Sink, require_all, to_messages, write_fanout, write_points
 from trendloom.sources.tables import spans_from_events, spans_from_lineitem
-from trendloom.session import shared_folder
+from trendloom.session import shared_folder, with_small_tasks
 from trendloom.streaming.native import count_stream, run_native_trends
 from trendloom.streaming.strict import run_strict_trends
 
@@ -46,10 +46,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def event_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    with_small_tasks(spark)
     return spans_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def line_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_small_tasks(spark)
     return spans_from_lineitem(spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
 
 

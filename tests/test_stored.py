@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue.queries import event_spans, line_spans
 from tests.helpers import points
 from tests.test_streams import flat
 from trendloom.operators.active import active_in_windows, merged_bitmaps, numbered_trends, trend_bitmaps
@@ -120,3 +121,19 @@ def test_windows_are_never_the_broadcast_side(spark, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "BuildLeft" not in plan and "Inner" not in plan
     assert flat(rows) == flat(point_trends(stored))
+
+
+def test_tasks_get_little_of_a_large_shuffle(spark, sf_dir):
+    """Queries lower Spark's default size of joined partitions, and leave a size that was set."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.unset(name)
+    try:
+        for spans in (event_spans, line_spans):
+            spans(spark, sf_dir)
+            assert spark.conf.get(name) == "16m"
+            spark.conf.unset(name)
+        spark.conf.set(name, "32m")
+        event_spans(spark, sf_dir)
+        assert spark.conf.get(name) == "32m"
+    finally:
+        spark.conf.unset(name)

@@ -35,6 +35,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
 
 
+#: Bytes of shuffled cells that one task gets at most. They take up to 56 times as much as rows in memory, as measured.
+TASK_MB = 16
+
+
+def with_small_tasks(spark: SparkSession) -> None:
+    """Lowers the size that adaptive execution joins shuffled partitions up to, where it is Spark's default of 64 MB."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    if spark.conf.get(name).lower().rstrip("b") in ("64m", "67108864"):
+        spark.conf.set(name, f"{TASK_MB}m")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for this use under ``spark.checkpoint.dir``, which all executors must share.
 
