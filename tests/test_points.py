@@ -152,3 +152,10 @@ def test_options():
     for wrong in (lambda: HistogramOptions(unit="hours"), lambda: start_position("middle"), lambda: TrendOptions(emit="x")):
         with pytest.raises(ValueError):
             wrong()
+
+
+def test_a_key_is_taken_apart_once(spark):
+    keys = spark.createDataFrame([("m,a=1,b=2,a=3",), ("m,a=1%2C2,b=%253D",), ("m",)], "k string")
+    read = keys.select(key_tags(F.col("k")).alias("t"))
+    assert [r["t"] for r in read.collect()] == [{"a": "1", "b": "2"}, {"a": "1,2", "b": "%3D"}, {}]
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1

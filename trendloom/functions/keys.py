@@ -6,7 +6,7 @@ would make it ambiguous are percent-escaped, so two definitions never share a ke
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ def _escape_literal(text: str) -> str:
 
 def trend_key(metric: Column, tags: Column) -> Column:
     """Key of a point whose tags are a map column."""
-    entries = F.array_sort(F.map_entries(tags))
+    entries = F.sort_array(F.map_entries(tags))
     pairs = F.transform(
         entries, lambda e: F.concat(escape(e["key"]), F.lit("="), escape(F.coalesce(e["value"], F.lit(""))))
     )
@@ -81,23 +81,40 @@ def key_metric(key: Column) -> Column:
     return unescape(F.substring_index(key, ",", 1))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is evaluated once, however often ``use`` names it, also inside functions over arrays."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def key_entries(key: Column) -> Column:
+    """The tags of a key as an array of names and values. A key that was not made here may name a tag twice: the first one counts."""
+
+    def entries(pairs: Column, text: Callable[[Column], Column]) -> Column:
+        return F.transform(
+            pairs, lambda p: F.struct(text(F.substring_index(p, "=", 1)).alias("key"), text(F.substring_index(p, "=", -1)).alias("value"))
+        )
+
+    def once(tags: Column, names: Column) -> Column:
+        firsts = F.filter(tags, lambda e, i: F.array_position(names, e["key"]) == i + 1)
+        return F.when(F.size(F.array_distinct(names)) == F.size(names), tags).otherwise(firsts)
+
+    def of_parts(parts: Column) -> Column:
+        pairs = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+        # Few keys hold an escaped character.
+        return F.when(F.contains(key, F.lit("%")), entries(pairs, unescape)).otherwise(entries(pairs, lambda t: t))
+
+    return _bound(
+        _bound(F.split(key, ","), of_parts), lambda tags: _bound(F.transform(tags, lambda e: e["key"]), lambda names: once(tags, names))
+    )
+
+
 def key_tags(key: Column) -> Column:
     """The tag map of a key."""
-    pairs = F.slice(F.split(key, ","), F.lit(2), F.greatest(F.size(F.split(key, ",")) - 1, F.lit(0)))
-    entries = F.transform(
-        pairs,
-        lambda p: F.struct(
-            unescape(F.substring_index(p, "=", 1)).alias("key"),
-            unescape(F.substring_index(p, "=", -1)).alias("value"),
-        ),
-    )
-    # A key that was not made here may name a tag twice: the first one counts.
-    names = F.transform(entries, lambda e: e["key"])
-    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1))
+    return F.map_from_entries(key_entries(key))
 
 
 def flat_tags(tags: Column) -> Column:
     """Tags as one sorted ``k=v`` text, for comparing and printing."""
     return F.array_join(
-        F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","
+        F.transform(F.sort_array(F.map_entries(tags)), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ","
     )

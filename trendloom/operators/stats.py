@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendloom import schema as S
-from trendloom.functions.keys import description, key_metric, key_tags
+from trendloom.functions.keys import description, key_entries, key_metric
 from trendloom.operators.cells import SERIES, interval_name
 from trendloom.options import TrendOptions
 
@@ -66,19 +66,25 @@ def stat_rows(wide: DataFrame, opts: TrendOptions) -> DataFrame:
     """
     # The outer form keeps Spark from deriving a filter over the whole array and repeating its expressions.
     known = wide.where(F.col("agg_type").isin([a.name for a in opts.aggregates]))
+    own = F.filter(key_entries(F.col("out_key")), lambda e: ~e["key"].isin(S.TAG_INTERVAL, S.TAG_STAT))
     described = known.withColumn("out_key", description(F.col("trend_key"))).select(
         "out_key",
         key_metric(F.col("out_key")).alias("metric"),
-        key_tags(F.col("out_key")).alias("own_tags"),
+        own.alias("own"),
         interval_name(F.col("seconds"), opts.intervals).alias("interval"),
         (F.col("win_start") + F.col("seconds")).alias("ts_sec"),
         offered_stats(opts).alias("offered"),
     )
+    # The key is read once for a window: a statistic only appends its own two tags.
+    # The outer form keeps Spark from deriving a filter over the whole array and repeating its expressions.
     long = described.select("*", F.inline_outer("offered").alias("stat", "value"))
-    tags = _aggregated_tags(F.col("own_tags"), F.col("interval"), F.col("stat"))
-    return long.select("out_key", "metric", tags.alias("tags"), "value", "ts_sec")
+    return long.select("out_key", "metric", aggregated_tags(F.col("own")).alias("tags"), "value", "ts_sec")
 
 
-def _aggregated_tags(own_tags: Column, interval: Column, stat: Column) -> Column:
-    own = F.map_filter(own_tags, lambda k, _: ~k.isin(S.TAG_INTERVAL, S.TAG_STAT))
-    return F.map_concat(own, F.create_map(F.lit(S.TAG_INTERVAL), interval, F.lit(S.TAG_STAT), stat))
+def aggregated_tags(own: Column) -> Column:
+    """The tags of a trend, an array of names and values, with those of the row's ``interval`` and ``stat``."""
+    added = [
+        F.struct(F.lit(name).alias("key"), F.col(column).alias("value"))
+        for name, column in ((S.TAG_INTERVAL, "interval"), (S.TAG_STAT, "stat"))
+    ]
+    return F.map_from_entries(F.concat(own, F.array(*added)))
