@@ -184,3 +184,21 @@ def test_limited_to_an_aggregate(spark):
         assert got == sorted(c for c in cells if c[1] == name) and got
     assert "duration_us" in span_cells(rows, every)._jdf.queryExecution().optimizedPlan().toString()
     assert "AS low#" not in span_cells(rows, every.limited("Count"))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cells_of_any_size_are_summed_exactly_in_one_pass(spark):
+    cells = spark.createDataFrame(
+        [("k", "Histogram", 60, 0, 1000, 5, 0), ("k", "Histogram", 60, 0, 1_794_048, 2**40, 0), ("k", "Histogram", 60, 60, 7, 1, 0)],
+        "trend_key string, agg_type string, seconds long, win_start long, bucket long, n long, total long",
+    )
+    opts = TrendOptions()
+    middles = {r["bucket"]: r["m"] for r in cells.select("bucket", H.bucket_middle(F.col("bucket"), opts.histogram).alias("m")).collect()}
+    wide = window_stats(cells, opts)
+    first, second = wide.orderBy("win_start").collect()
+    n, total = 5 + 2**40, 5 * middles[1000] + 2**40 * middles[1_794_048]
+    squares = 5 * middles[1000] ** 2 + 2**40 * middles[1_794_048] ** 2
+    assert (first["points"], first["mean"]) == (n, total // n * 1000)
+    assert first["std"] == math.isqrt((n * squares - total * total) // (n * n)) * 1000
+    assert (second["mean"], second["std"]) == (7000, 0)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert sum(line.lstrip(" :+-").startswith("Window [") for line in plan.splitlines()) == 1

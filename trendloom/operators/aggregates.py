@@ -54,12 +54,26 @@ def percentile(percent: int, opts: HistogramOptions) -> Column:
 def histogram_sums(opts: HistogramOptions) -> Columns:
     """Bucket lows for min, max and percentiles; exact sums of bucket middles for mean and std."""
     unit = F.lit(opts.unit_us).cast("bigint")
-    n = F.col("n").cast("decimal(18,0)")
-    middle = F.col("middle")
+    # Middles are below 2^bits. Their squares are summed in two halves of so many bits; a window has at most bucket_limit cells.
+    bits = opts.max_value.bit_length() + 1
+    limit = 2**61 // (2**bits * H.bucket_limit(opts))
+    n, middle = F.col("n"), F.col("middle")
+    fits = middle.between(F.lit(-1), F.lit(2**bits - 1)) & (n < F.lit(limit))
+
+    def short(part: Column) -> Column:
+        return F.coalesce(F.sum(F.when(fits, part * n)), F.lit(0)).cast("decimal(38,0)")
+
+    def wide(factor: Column) -> Column:
+        product = factor.cast("decimal(20,0)") * n.cast("decimal(18,0)")
+        return F.coalesce(F.sum(F.when(~fits, product)), F.lit(0).cast("decimal(38,0)"))
+
+    square = middle * middle
+    high, low = F.shiftright(square, bits), square.bitwiseAND(F.lit(2**bits - 1).cast("bigint"))
+    # Sums of decimals cost many times those of whole numbers, so only cells that don't fit 64 bits go by decimals.
     return {
         "hist_n": F.sum("n"),
-        "hist_total": F.sum(middle.cast("decimal(20,0)") * n),
-        "hist_squares": F.sum((middle * middle).cast("decimal(20,0)") * n),
+        "hist_total": short(middle) + wide(middle),
+        "hist_squares": short(high) * F.lit(2**bits).cast("decimal(18,0)") + short(low) + wide(square),
         "min": F.min("bucket") * unit,
         "max": F.max("bucket") * unit,
         "p50": percentile(50, opts),

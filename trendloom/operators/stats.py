@@ -22,9 +22,11 @@ def window_stats(cells: DataFrame, opts: TrendOptions, keep: Sequence[str] = ())
     ``bucket_limit`` cells, whatever the number of points behind them. ``keep`` names columns that all cells of a window share.
     """
     keys = (*WINDOW_KEYS, *keep)
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = cells.withColumn("cum", F.sum("n").over(running)).withColumn("n_all", F.sum("n").over(group))
+    ordered = Window.partitionBy(*keys).orderBy("bucket")
+    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # One order for both, so that Spark goes through the cells of a window once.
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = cells.withColumns({"cum": F.sum("n").over(running), "n_all": F.sum("n").over(whole)})
     sums, derived = [], []
     for aggregate in opts.aggregates:
         if aggregate.cell is not None:
