@@ -202,3 +202,18 @@ def test_cells_of_any_size_are_summed_exactly_in_one_pass(spark):
     assert (second["mean"], second["std"]) == (7000, 0)
     plan = wide._jdf.queryExecution().optimizedPlan().toString()
     assert sum(line.lstrip(" :+-").startswith("Window [") for line in plan.splitlines()) == 1
+
+
+def test_late_counts_group_by_no_value(spark):
+    rng = random.Random(5)
+    rows = [(float(rng.randrange(1, 10**6)), rng.randrange(3000)) for _ in range(300)]
+    df = points(spark, "duration", rows).withColumn("arrival", F.col("ts_sec") + F.lit(97) * F.col("value").cast("bigint") % 900)
+    opts = TrendOptions(arrival_block=300)
+    tally = tally_points(df, opts)
+    counted = late_counts(tally, opts)
+    part = F.when(F.col("accepted"), F.col("n")).otherwise(0)
+    cells = judged_cells(tally, opts).groupBy("trend_key", "seconds").agg(F.sum("n"), F.sum(part), F.sum(F.col("n") - part))
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, cells.collect()))
+    assert any(r["late"] for r in counted.collect())
+    assert "closed" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    assert tally.without_buckets().rows.select("bucket").distinct().count() == 1

@@ -9,7 +9,7 @@ as many reducers as it has buckets, and bounds what is left of it by the resolut
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,6 +67,11 @@ class Tally:
         cut = F.call_function("div", F.col("arrival"), F.lit(width).cast("bigint"))
         return Tally(self.rows.withColumn("slice", cut), (*self.part, "slice"), self.spread)
 
+    def without_buckets(self) -> Tally:
+        """The same for numbers of points: whether a row has a bucket is kept, and not which."""
+        names = [c for c in self.part if c in ("low", "bucket")]
+        return replace(self, rows=self.rows.withColumns({c: F.least(F.col(c), F.lit(0).cast("bigint")) for c in names}))
+
 
 def trend_total() -> Column:
     """What a spread group adds to its trend."""
