@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from trendloom.plans.trends import strict_point_trends
 from trendloom.schema import INTERVALS
 from trendloom.sources.readers import read_points
 from trendloom.sources.sinks import Sink
-from trendloom.streaming.keyed import cut_cells, judge, keyed_open_windows, keyed_trends, run_keyed_trends, window_changes
+from trendloom.streaming.keyed import _cells_in, _cut_partition, cut_cells, judge, keyed_open_windows, keyed_trends, run_keyed_trends, window_changes
 
 PAIRS = [(i + 1, s) for i, s in enumerate(ORDER)]
 
@@ -136,3 +137,64 @@ def test_sums_beyond_64_bits_are_null():
     open_ = {60: {}}
     judge(pd.concat([cells, cells]), [(60, 5)], open_)
     assert open_[60][0][-1] == [4, None] and open_[60][60][-1] == [2, None]
+
+
+def arrow_points(draw, size, trends, slices, ties):
+    now, times = 0, []
+    for _ in range(size):
+        now += draw.choice((0, 5, 20, 90))
+        times.append(max(0, now - draw.choice((0, 0, 30, 100, 400, 4000, 9000))))
+    arrival = [i // ties for i in range(size)]
+    columns = {
+        "trend_key": [draw.choice("abc"[:trends]) for _ in times], "agg_type": ["Count"] * size,
+        "slice": [a * slices // size for a in arrival], "grain_start": [s // 60 * 60 for s in times],
+        "bucket": [draw.choice((-1, 8)) for _ in times], "amount": [draw.choice((1, 2**61)) for _ in times], "arrival": arrival,
+        "metric": ["m"] * size, "tags": pa.array([[("x", "y")]] * size, pa.map_(pa.string(), pa.string())),
+    }
+    return pd.DataFrame({c: v for c, v in columns.items() if c != "tags"}), pa.RecordBatch.from_pydict(columns)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_what_a_stretch_sends_judges_like_single_points(seed):
+    """Late points that a stretch knows of are only counted, the others go as cells of their interval."""
+    draw = random.Random(seed)
+    frame, batch = arrow_points(draw, 400, 3, (3, 40)[seed % 2], (1, 7)[seed % 3 == 0])
+    shuffled = batch.take(pa.array(draw.sample(range(400), 400)))
+    for k in range(4):
+        intervals = [(60, k), (300, (k + 1) % 3), (3600, 0)]
+        parts = [shuffled.slice(i, 150) for i in (0, 150, 300)]
+        rows = pd.concat([b.to_pandas() for b in _cut_partition(iter(parts), intervals)], ignore_index=True)
+        assert sorted(rows[rows.kind == "trend"].trend_key) == ["a", "b", "c"]
+        for trend in "abc":
+            ordered = frame[frame.trend_key == trend].sort_values(["arrival", "grain_start"], kind="stable")
+            for seconds, extra in intervals:
+                own = rows[(rows.trend_key == trend) & (rows.seconds == seconds)]
+                open_ = {seconds: {}}
+                closed, late, _ = judge(_cells_in(own[own.kind == "cell"]), [(seconds, extra)], open_)
+                final, live, dropped = simulate(ordered["grain_start"].tolist(), seconds, extra)
+                assert {w: sum(c[0] for c in held.values()) for _, w, held in closed} == final
+                assert {w: sum(c[0] for c in held.values()) for w, held in open_[seconds].items()} == live
+                assert late[seconds] + own[own.kind == "late"]["late"].sum() == dropped
+                for w, held in [(w, h) for _, w, h in closed] + list(open_[seconds].items()):
+                    # A sum that fits is exact, whatever else the rows hold.
+                    assert all(total is None or 0 < total < 2**63 for _, total in held.values())
+
+
+def test_rows_to_the_state_do_not_grow_with_points():
+    """A stretch of one trend goes as one row for each interval and kind, and what is late in it as a number."""
+    _, batch = arrow_points(random.Random(1), 4000, 1, 1, 1)
+    rows = pd.concat([b.to_pandas() for b in _cut_partition(iter([batch]), [(60, 1), (3600, 0)])], ignore_index=True)
+    assert len(rows) == 5 and set(rows.kind) == {"trend", "late", "cell"}
+    cells = rows[(rows.kind == "cell") & (rows.seconds == 3600)].iloc[0]
+    assert len(cells.n) < 400 and sum(cells.n) + rows[(rows.kind == "late") & (rows.seconds == 3600)]["late"].sum() == 4000
+    assert next(_cut_partition(iter([batch.slice(0, 0)]), [(60, 1)]), None) is None
+
+
+def test_sums_beyond_64_bits_go_as_null():
+    _, batch = arrow_points(random.Random(2), 8, 1, 1, 1)
+    of = {"grain_start": [0] * 8, "bucket": [3] * 3 + [4] * 5, "amount": [2**62, 2**62, 1, 2**53, 1, 0, 0, 0], "slice": [0] * 8}
+    batch = pa.RecordBatch.from_pydict({**{n: batch.column(n) for n in batch.schema.names}, **of})
+    rows = pd.concat([b.to_pandas() for b in _cut_partition(iter([batch]), [(60, 1)])], ignore_index=True)
+    open_ = {60: {}}
+    judge(_cells_in(rows[rows.kind == "cell"]), [(60, 1)], open_)
+    assert open_ == {60: {0: {3: [3, None], 4: [5, 2**53 + 1]}}}
