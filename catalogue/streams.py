@@ -34,13 +34,20 @@ PARTS = 4
 
 
 def _in_parts(rows: DataFrame, by: str, folder: str, parts: int = PARTS) -> Iterator[int]:
-    """Adds the rows to the folder in stretches of a column of equal width, and pauses after each."""
+    """Adds the rows to the folder in stretches of a column of equal width, and pauses after each.
+
+    The rows are dealt once and the parts then copied, so that a part has files for all cores whatever files the table has.
+    """
+    spark = rows.sparkSession
     low, high = rows.agg(F.min(by), F.max(by)).first()
     low, high = low or 0, high or 0
     width = (high - low) // parts + 1
-    numbered = rows.withColumn("part", F.call_function("div", F.col(by) - low, F.lit(width).cast("bigint")))
+    numbered = rows.withColumn("part", F.call_function("div", F.col(by) - low, F.lit(width).cast("bigint")).cast("int"))
+    dealt = shared_folder(spark, "parts")
+    numbered.repartition(spark.sparkContext.defaultParallelism, by).write.partitionBy("part").parquet(dealt)
     for part in range(parts):
-        numbered.where(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
+        copied = spark.read.schema(numbered.schema).parquet(dealt).where(F.col("part") == part)
+        copied.select(*rows.columns).write.mode("append").parquet(folder)
         yield part
 
 

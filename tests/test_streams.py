@@ -187,3 +187,20 @@ def test_start_at_a_moment(spark, tmp_path):
     assert [r.value for r in spark.table("since").collect()] == [2.0]
     with pytest.raises(ValueError):
         read_points(spark, source, start="yesterday")
+
+
+def test_parts_of_one_file_lie_in_several(spark, tmp_path):
+    """A table in one file is dealt once, so that every part of a stream is read by several tasks."""
+    from catalogue.streams import PARTS, _in_parts
+
+    table, folder = str(tmp_path / "table"), str(tmp_path / "parts")
+    rows = spark.range(400).select("id", F.when(F.col("id") % 10 > 0, F.col("id") * 7 % 400).alias("arrival"), F.array("id").alias("tags"))
+    rows.coalesce(1).write.parquet(table)
+    seen = []
+    for part in _in_parts(spark.read.parquet(table), "arrival", folder):
+        files = spark.read.parquet(folder).select("*", F.input_file_name().alias("file"))
+        new = [r for r in files.collect() if r.file not in seen]
+        assert sorted(r.id for r in new) == [i for i in range(400) if i % 10 and i * 7 % 400 * PARTS // 400 == part]
+        assert all(r.tags == [r.id] for r in new) and len({r.file for r in new}) > 1
+        seen += {r.file for r in new}
+    assert spark.read.parquet(folder).columns == ["id", "arrival", "tags"]
