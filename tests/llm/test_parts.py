@@ -256,3 +256,19 @@ def test_stages_on_awkward_and_empty_tables(spark, sf_dir):
         for name, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.settled(stage(spark, docs, sf_dir), "awkward")
             assert name == "best-fit packing" or docs.columns == awkward(spark).columns
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_chunks_are_cut_into_words_and_rests_as_columns(name):
+    import public_tokenizers
+    import pyarrow as pa
+
+    from trendloom.llm.chunks import LibraryEncoder
+
+    encoder = LibraryEncoder(public_tokenizers.path(name))
+    odd = ["abc", "abc,", "abc,d", "été!", "été", "don't", "ab中", "ab中c.", "中", ",", "1a", "a\n", "a\nb", "\n", "x×y", "a×", "Ab12", "a\x7f", "", "straße-1", "aé", "{a}", "a{", "a`b"]
+    chunks = [c for c in odd if encoder.lead or not any(s in c for s in "\n")]
+    lengths, ids = encoder._chunk_ids(pa.array(chunks))
+    want = [encoder.each([encoder.lead + c])[0] if c or encoder.lead else b"" for c in chunks]
+    ends = lengths.cumsum()
+    assert [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), lengths.tolist())] == want

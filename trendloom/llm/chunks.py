@@ -22,6 +22,8 @@ PORTION_TEXT = 4 << 20
 _LOOSE = re.compile(r" (?:(?!\S)|(?<!\S ))")
 _TIGHT = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: A chunk of letters, and of letters and what follows them, if that is ASCII; for Arrow, which sees a column at a time.
+_WORD_REST = r"(?s)\A(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>(?:[\x00-@\[-\x60{-\x7f].*)?)\z"
 #: What some libraries take for white space and others don't.
 _UNSURE = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -‍    　﻿]")
 
@@ -175,53 +177,56 @@ class LibraryEncoder:
         numbered = lists.flatten().dictionary_encode()
         which = numbered.indices.to_numpy(zero_copy_only=False).astype(np.int32)
         starts -= starts[0]
-        entries = self._chunk_ids(numbered.dictionary.to_pylist())
+        chunks = numbered.dictionary
+        lengths, ids = self._chunk_ids(chunks)
         if self.lead:  # the first chunk of a text has no space before it
-            firsts = numbered.dictionary.take(pa.array(which[starts[:-1]])).to_pylist()
-            which[starts[:-1]] = len(entries) + np.arange(len(firsts), dtype=np.int32)
-            entries += self.each(firsts)
+            firsts = self.each(chunks.take(pa.array(which[starts[:-1]])).to_pylist())
+            which[starts[:-1]] = len(lengths) + np.arange(len(firsts), dtype=np.int32)
+            more, own = self._packed(firsts)
+            lengths, ids = np.concatenate([lengths, more]), np.concatenate([ids, own])
         item = self.dtype.itemsize
-        lengths = np.fromiter(map(len, entries), np.int32, len(entries)) // item
-        ids = np.frombuffer(b"".join(entries), self.dtype)
         begins = (np.cumsum(lengths, dtype=np.int64) - lengths).astype(np.int32)  # a call's distinct chunks are far fewer
         for low, high in _stretches(starts):
             some = which[starts[low] : starts[high]]
-            n = lengths[some]
-            ends = np.cumsum(n, dtype=np.int64)
-            at = np.repeat(begins[some] - (ends - n).astype(np.int32), n)
-            at += np.arange(len(at), dtype=np.int32)
+            at, ends = _places(begins[some], lengths[some])
             packed = ids[at].tobytes()
             borders = np.concatenate([[0], ends])[starts[low : high + 1] - starts[low]] * item
             for a, b in zip(borders.tolist(), borders[1:].tolist()):
                 yield packed[a:b]
 
-    def _chunk_ids(self, chunks: list[str]) -> list[bytes]:
-        """The ids of each distinct chunk, with the space before it where that belongs to it."""
-        words: dict[str, None] = {}
-        rests: dict[str, None] = {}
-        parts: list[tuple[str, str | None] | None] = []
-        for chunk in chunks:
-            end = m.end() if (m := _LETTERS.match(chunk)) else 0
-            if end and (end == len(chunk) or chunk[end] < "\x80"):
-                word, rest = chunk[:end], chunk[end:]
-                words[word] = None
-                if rest:
-                    rests[rest] = None
-                parts.append((word, rest))
-            else:
-                parts.append(None if chunk or self.lead else ("", None))
-        known = self._known(words)
-        after = dict(zip(rests, self.each(list(rests))))
-        other = iter(self.each([self.lead + c for c, p in zip(chunks, parts) if p is None]))
-        found = []
-        for part in parts:
-            if part is None:
-                found.append(next(other))
-            elif part[1] is None:
-                found.append(b"")
-            else:
-                found.append(known[part[0]] + after[part[1]] if part[1] else known[part[0]])
-        return found
+    def _packed(self, entries: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each entry has, and the ids."""
+        lengths = np.fromiter(map(len, entries), np.int32, len(entries)) // self.dtype.itemsize
+        return lengths, np.frombuffer(b"".join(entries), self.dtype)
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each distinct chunk has, and the ids, with the space before it where that belongs to it.
+
+        Distinct words and rests are encoded once; a chunk is a word and a rest, or a chunk that is encoded whole and no rest.
+        """
+        cut = pc.extract_regex(chunks, _WORD_REST)
+        whole = cut.is_null().to_numpy(zero_copy_only=False)
+        words, rests = (cut.field(i).filter(pa.array(~whole)).dictionary_encode() for i in (0, 1))
+        texts = words.dictionary.to_pylist()
+        known = self._known(texts)
+        entries = [known[w] for w in texts]
+        others = chunks.filter(pa.array(whole)).to_pylist()
+        asked = [c for c in others if c or self.lead]
+        other = iter(self.each([self.lead + c for c in asked]))
+        entries += [next(other) if c or self.lead else b"" for c in others]
+        after = rests.dictionary.to_pylist()
+        encoded = iter(self.each([r for r in after if r]))
+        # The first half of a chunk, then the second; the last entry is nothing.
+        parts = np.full((len(chunks), 2), len(entries) + len(after), np.int32)
+        parts[~whole, 0] = words.indices.to_numpy()
+        parts[whole, 0] = len(texts) + np.arange(len(others))
+        parts[~whole, 1] = len(entries) + rests.indices.to_numpy()
+        entries += [next(encoded) if r else b"" for r in after]
+        lengths, ids = self._packed([*entries, b""])
+        begins = (np.cumsum(lengths, dtype=np.int64) - lengths).astype(np.int32)
+        some = parts.ravel()
+        at, _ = _places(begins[some], lengths[some])
+        return lengths[parts].sum(axis=1, dtype=np.int32), ids[at]
 
     def _known(self, words: Iterable[str]) -> dict[str, bytes]:
         """The ids of words, remembered ones first; results never depend on what is remembered."""
@@ -260,6 +265,14 @@ class LibraryEncoder:
         return out
 
 
+def _places(begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the ids of some entries lie, entry after entry, and where each entry ends among them."""
+    ends = np.cumsum(lengths, dtype=np.int64)
+    at = np.repeat(begins - (ends - lengths).astype(np.int32), lengths)
+    at += np.arange(len(at), dtype=np.int32)
+    return at, ends
+
+
 def _stretches(starts: np.ndarray, chunks: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Lists ``low`` to ``high`` with about so many chunks, one list at least."""
     low, n = 0, len(starts) - 1
