@@ -272,3 +272,41 @@ def test_chunks_are_cut_into_words_and_rests_as_columns(name):
     want = [encoder.each([encoder.lead + c])[0] if c or encoder.lead else b"" for c in chunks]
     ends = lengths.cumsum()
     assert [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), lengths.tolist())] == want
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("remembered", [None, 0, 3000])
+def test_words_are_remembered_as_columns(name, remembered, monkeypatch):
+    from itertools import islice, product
+
+    from trendloom.llm import chunks
+
+    if remembered is not None:
+        monkeypatch.setattr(chunks, "REMEMBERED_BYTES", remembered)
+    encoder = chunks.LibraryEncoder(P.path(name))
+    learned, learn = [], encoder.words.learn
+    encoder.words.learn = lambda words: learned.extend(words.to_pylist()) or learn(words)
+    # More words between the first texts and their return than two generations of 20 MB held.
+    words = ["".join(w) for w in islice(product("étaoinshrdlucmfwypvbgkjqxzÉÀß", repeat=4), 300_000 if remembered is None else 500)]
+    parts = [words[i::5] for i in range(5)]
+    texts = [[" ".join(p[i : i + 50]) + ".\nEnd, été" for i in range(0, len(p), 50)] for p in [*parts, parts[0]]]
+    for some in texts:
+        assert encoder.many(some) == encoder.each(some)
+    assert remembered is not None or len(learned) == len(set(learned))
+
+
+def test_codes_of_all_lengths_are_packed():
+    rng = np.random.default_rng(3)
+    lengths = tokenfile.code_lengths(np.array([1 << min(i, 40) for i in range(30)] + [1] * 2000), 20)
+    assert (lengths.min(), lengths.max()) == (1, 20) and len(set(lengths.tolist())) > 12
+    sizes = rng.integers(0, 1500, 40)
+    ids = rng.integers(0, len(lengths), int(sizes.sum()))
+    codes = tokenfile.canonical(lengths)
+    payload, in_bytes, offsets = tokenfile.pack(ids, sizes, lengths, codes, 512)
+    bits = [f"{codes[i]:0{lengths[i]}b}" for i in ids.tolist()]
+    borders = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+    docs = ["".join(bits[a:b]) for a, b in zip(borders, borders[1:])]
+    whole = "".join(d + "0" * (-len(d) % 8) for d in docs)
+    assert payload == bytes(int(whole[i : i + 8], 2) for i in range(0, len(whole), 8))
+    assert in_bytes.tolist() == [-(-len(d) // 8) for d in docs]
+    assert offsets.tolist() == [sum(map(len, bits[a:i])) for a, b in zip(borders, borders[1:]) for i in range(a, b, 512)]

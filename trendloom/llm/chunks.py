@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -13,15 +14,16 @@ import pyarrow.compute as pc
 
 #: Chunks in one generation of what a worker remembers, and the longest one it remembers, in characters.
 REMEMBERED, LONGEST = 500_000, 100
-#: Of a library encoder: bytes of words in one generation, and what a word takes besides its letters.
-REMEMBERED_BYTES, ENTRY_BYTES = 20 << 20, 220
+#: Of a library encoder: bytes of words, or of what follows them, and of their ids.
+REMEMBERED_BYTES = 12 << 20
 #: Characters of texts that are best given to a library encoder at once.
-PORTION_TEXT = 4 << 20
+PORTION_TEXT = 8 << 20
 
 #: A space that has white space or an end beside it.
 _LOOSE = re.compile(r" (?:(?!\S)|(?<!\S ))")
 _TIGHT = re.compile(r"(?<=\S) (?=\S)")
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LATIN = "".join(filter(_LETTERS.match, map(chr, range(256))))
 #: A chunk of letters, and of letters and what follows them, if that is ASCII; for Arrow, which sees a column at a time.
 _WORD_REST = r"(?s)\A(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<rest>(?:[\x00-@\[-\x60{-\x7f].*)?)\z"
 #: What some libraries take for white space and others don't.
@@ -110,11 +112,42 @@ class ChunkEncoder:
         return found
 
 
+class Columns:
+    """The ids of strings as columns: strings met before, how many ids each has, and their ids one after the other.
+
+    ``learn`` gives the last two for new strings. Beyond ``REMEMBERED_BYTES`` only the strings of the last call stay; results never
+    depend on what is remembered.
+    """
+
+    def __init__(self, learn: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]):
+        self.learn = learn
+        self.strings: pa.Array | None = None
+
+    def of(self, strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each of these distinct strings has, and the ids."""
+        if self.strings is None:
+            self.strings, (self.lengths, self.ids) = strings, self.learn(strings)
+            return self.lengths, self.ids
+        at = pc.index_in(strings, value_set=self.strings)
+        new = at.is_null()
+        more = strings.filter(new)
+        at = at.fill_null(0).to_numpy().copy()
+        at[new.to_numpy(zero_copy_only=False)] = len(self.strings) + np.arange(len(more))
+        lengths, ids = self.learn(more)
+        self.strings = pa.concat_arrays([self.strings, more])
+        self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
+        places, _ = _places((np.cumsum(self.lengths, dtype=np.int64) - self.lengths).astype(np.int32)[at], self.lengths[at])
+        lengths, ids = self.lengths[at], self.ids[places]
+        if self.strings.nbytes + self.lengths.nbytes + self.ids.nbytes > REMEMBERED_BYTES:
+            self.strings, self.lengths, self.ids = strings, lengths, ids
+        return lengths, ids
+
+
 class LibraryEncoder:
     """Texts to packed ids by the tokenizers library, with its own defaults, but for special tokens that it would add.
 
     The chunks of many texts are split, numbered and gathered as Arrow and numpy columns; Python handles each distinct chunk
-    once a call. Words are remembered in two generations of ``REMEMBERED_BYTES`` each. Which chunks can be encoded apart follows from the file's own
+    once a call. Words and what follows them are remembered. Which chunks can be encoded apart follows from the file's own
     splitting rule. Whole texts go to the library where a file has any other rule, and where a text may hold the string of a
     special token or white space on which libraries disagree.
     """
@@ -132,12 +165,14 @@ class LibraryEncoder:
         # Normalising may change letters of a special token's string but not two marks like these.
         marks = {t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.special = re.compile("|".join(map(re.escape, sorted(marks))), re.I) if marks else None
-        self.border = np.zeros(size, bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.border[i] = token.startswith("Ġ") if self.rule == "spaced" else token.endswith("</w>")
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
+        if self.rule == "spaced":  # letters as the library's model takes them
+            shown = self.tokenizer.pre_tokenizer.pre_tokenize_str
+            self.shown = {ord(c): shown(c)[0][0] for c in _LATIN} | {ord(" "): " " + shown(" ")[0][0]}
+        else:
+            self.border = np.zeros(size, bool)
+            for token, i in self.tokenizer.get_vocab().items():
+                self.border[i] = token.endswith("</w>")
+        self.words, self.rests = Columns(self._word_ids), Columns(lambda rests: self._packed(self._filled(rests)))
 
     def each(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts, or of chunks as if they were."""
@@ -199,6 +234,12 @@ class LibraryEncoder:
         lengths = np.fromiter(map(len, entries), np.int32, len(entries)) // self.dtype.itemsize
         return lengths, np.frombuffer(b"".join(entries), self.dtype)
 
+    def _filled(self, chunks: pa.Array, lead: str = "") -> list[bytes]:
+        """Ids of chunks by the library; of nothing, nothing."""
+        texts = [lead + c for c in chunks.to_pylist()]
+        found = iter(self.each([t for t in texts if t]))
+        return [next(found) if t else b"" for t in texts]
+
     def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each distinct chunk has, and the ids, with the space before it where that belongs to it.
 
@@ -207,62 +248,44 @@ class LibraryEncoder:
         cut = pc.extract_regex(chunks, _WORD_REST)
         whole = cut.is_null().to_numpy(zero_copy_only=False)
         words, rests = (cut.field(i).filter(pa.array(~whole)).dictionary_encode() for i in (0, 1))
-        texts = words.dictionary.to_pylist()
-        known = self._known(texts)
-        entries = [known[w] for w in texts]
-        others = chunks.filter(pa.array(whole)).to_pylist()
-        asked = [c for c in others if c or self.lead]
-        other = iter(self.each([self.lead + c for c in asked]))
-        entries += [next(other) if c or self.lead else b"" for c in others]
-        after = rests.dictionary.to_pylist()
-        encoded = iter(self.each([r for r in after if r]))
+        others = chunks.filter(pa.array(whole))
+        columns = [self.words.of(words.dictionary), self._packed(self._filled(others, self.lead)), self.rests.of(rests.dictionary)]
         # The first half of a chunk, then the second; the last entry is nothing.
-        parts = np.full((len(chunks), 2), len(entries) + len(after), np.int32)
+        lengths = np.concatenate([*(n for n, _ in columns), np.zeros(1, np.int32)])
+        ids = np.concatenate([i for _, i in columns])
+        parts = np.full((len(chunks), 2), len(lengths) - 1, np.int32)
         parts[~whole, 0] = words.indices.to_numpy()
-        parts[whole, 0] = len(texts) + np.arange(len(others))
-        parts[~whole, 1] = len(entries) + rests.indices.to_numpy()
-        entries += [next(encoded) if r else b"" for r in after]
-        lengths, ids = self._packed([*entries, b""])
+        parts[whole, 0] = len(words.dictionary) + np.arange(len(others))
+        parts[~whole, 1] = len(words.dictionary) + len(others) + rests.indices.to_numpy()
         begins = (np.cumsum(lengths, dtype=np.int64) - lengths).astype(np.int32)
         some = parts.ravel()
         at, _ = _places(begins[some], lengths[some])
-        return lengths[parts].sum(axis=1, dtype=np.int32), ids[at]
-
-    def _known(self, words: Iterable[str]) -> dict[str, bytes]:
-        """The ids of words, remembered ones first; results never depend on what is remembered."""
-        found, new = {}, []
-        young, old = self.young, self.old
-        for word in words:
-            ids = young.get(word) or old.get(word)
-            if ids is None:
-                new.append(word)
-            else:
-                found[word] = ids
-        learned = self._word_ids(new)
-        found.update(learned)
-        if self.held > REMEMBERED_BYTES:
-            self.young, self.old, self.held = {}, young, 0
-            # What is in use goes on to the next generation.
-            learned = found if len(found) * ENTRY_BYTES < REMEMBERED_BYTES else learned
-        self.young.update(learned)
-        self.held += sum(map(len, learned)) + ENTRY_BYTES * len(learned)
-        return found
+        return lengths[parts[:, 0]] + lengths[parts[:, 1]], ids[at]
 
-    def _word_ids(self, words: list[str]) -> dict[str, bytes]:
-        """Many words as one text, cut where a token starts with the space or ends a word."""
-        out: dict[str, bytes] = {}
-        for i in range(0, len(words), 2000):
-            some = words[i : i + 2000]
-            ids = np.frombuffer(self.each([self.lead + " ".join(some)])[0], self.dtype)
-            cuts = np.flatnonzero(self.border[ids])
-            if len(cuts) != len(some):  # a word that the tokenizer splits or changes: one by one
-                out.update(zip(some, self.each([self.lead + w for w in some])))
-                continue
-            starts = cuts if self.lead else np.concatenate([[0], cuts[:-1] + 1])
-            packed, places = ids.tobytes(), (np.append(starts, len(ids)) * self.dtype.itemsize).tolist()
-            for word, start, stop in zip(some, places, places[1:]):
-                out[word] = packed[start:stop]
-        return out
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and the ids, as the library's model gives them for letters with the space before them.
+
+        Where the file has another rule many words are one text, cut where a token ends a word.
+        """
+        if not len(words):
+            return self._packed([])
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), " ")[0].as_py()
+        if self.rule == "spaced":
+            tokenize = self.tokenizer.model.tokenize
+            found = [[token.id for token in tokenize(word)] for word in (" " + joined).translate(self.shown)[1:].split(" ")]
+            lengths = np.fromiter(map(len, found), np.int32, len(found))
+            return lengths, np.fromiter(chain.from_iterable(found), self.dtype, int(lengths.sum()))
+        texts = joined.split(" ")
+        counted, packed = [], []
+        for i in range(0, len(texts), 2000):
+            some = texts[i : i + 2000]
+            ids = np.frombuffer(self.each([" ".join(some)])[0], self.dtype)
+            lengths = np.diff(np.flatnonzero(self.border[ids]) + 1, prepend=0).astype(np.int32)
+            if len(lengths) != len(some):  # a word that the tokenizer splits or changes: one by one
+                lengths, ids = self._packed(self.each(some))
+            counted.append(lengths)
+            packed.append(ids)
+        return np.concatenate(counted), np.concatenate(packed)
 
 
 def _places(begins: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -92,7 +92,8 @@ def decoding_table(lengths: np.ndarray) -> tuple[np.ndarray, int]:
 
 def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndarray, block: int) -> tuple[bytes, np.ndarray, np.ndarray]:
     """Bits of several documents, bytes of each, and the bit offsets of their blocks, from the document's first bit."""
-    bits = lengths[ids].astype(np.int64)
+    entry = (codes.astype(np.int64) << 6 | lengths)[ids]
+    bits = entry & 63
     if len(ids) and bits.min() == 0:
         raise ValueError("an id without a code")
     ends = np.concatenate([[0], np.cumsum(bits)])
@@ -100,16 +101,21 @@ def pack(ids: np.ndarray, sizes: np.ndarray, lengths: np.ndarray, codes: np.ndar
     in_bytes = (ends[firsts[1:]] - ends[firsts[:-1]] + 7) // 8
     starts = np.concatenate([[0], np.cumsum(in_bytes)])
     place = ends[:-1] + np.repeat(starts[:-1] * 8 - ends[firsts[:-1]], sizes)
-    word = codes[ids].astype(np.int64) << (32 - bits - (place & 7))
-    at = place >> 3
-    out = np.zeros(int(starts[-1]) + 4, np.int64)
-    for k in range(4):  # the bits of different ids never overlap, so adding them is joining them
-        part = np.bincount(at + k, weights=(word >> (24 - 8 * k)) & 255, minlength=len(out))
-        out[: len(part)] += part.astype(np.int64)
-    inside = np.arange(len(ids)) - np.repeat(firsts[:-1], sizes)
-    heads = np.flatnonzero(inside % block == 0)
-    doc = np.repeat(np.arange(len(sizes)), sizes)[heads]
-    return out[: int(starts[-1])].astype(np.uint8).tobytes(), in_bytes, place[heads] - starts[doc] * 8
+    out = np.zeros(int(starts[-1]) // 4 + 3, np.uint32)
+    if len(ids):
+        # Codes that start within the same 32 bits are joined in 64.
+        shift = 64 - bits
+        shift -= place & 31
+        word = (entry >> 6).view(np.uint64) << shift.view(np.uint64)
+        at = place >> 5
+        heads = np.flatnonzero(np.diff(at, prepend=-1))
+        joined, at = np.bitwise_or.reduceat(word, heads), at[heads]
+        out[at] = joined >> np.uint64(32)
+        out[at + 1] |= joined.astype(np.uint32)
+    blocks = -(-sizes // block)
+    inside = np.arange(int(blocks.sum())) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    offsets = place[np.repeat(firsts[:-1], blocks) + block * inside] - np.repeat(starts[:-1] * 8, blocks)
+    return out.astype(">u4").tobytes()[: int(starts[-1])], in_bytes, offsets
 
 
 def unpack(payload: np.ndarray, offsets: np.ndarray, counts: np.ndarray, table: np.ndarray, width: int) -> np.ndarray:
