@@ -170,6 +170,37 @@ def test_op2_awkward(spark):
     assert sorted(repeated) == [(1, 2, 1, True), (2, 2, 1, False)]
 
 
+def test_op2_filter_loses_no_key(spark, monkeypatch):
+    keys = spark.range(-400, 400).withColumnRenamed("id", "key")
+    mark = F.xxhash64("key").alias("mark")
+    others = [(r["mark"], r["key"]) for r in spark.range(400, 20_400).withColumnRenamed("id", "key").select(mark, "key").collect()]
+    own = [(r["mark"], r["key"]) for r in keys.select(mark, "key").collect()]
+    bitmap = minhash.possible(keys.union(keys))
+    assert list(minhash._passing(own, bitmap)) == [(key,) for _, key in own]
+    assert len(list(minhash._passing(others, bitmap))) < 0.05 * len(others)
+    assert list(minhash._passing(own + others, minhash.possible(keys.limit(0)))) == []
+    # At its greatest size the filter passes more, and still every key.
+    monkeypatch.setattr(minhash, "MOST_BITS", 1 << 15)
+    many = minhash.possible(spark.range(400, 20_400).withColumnRenamed("id", "key"))
+    assert len(many) == 4096 and list(minhash._passing(others, many)) == [(key,) for _, key in others]
+
+
+def test_op2_shuffles_no_text(spark, tmp_path, monkeypatch):
+    """Texts, signatures and sets are looked up by a filter; only a table whose ids repeat is grouped by id."""
+    plans, settle = {}, minhash.settled
+
+    def watched(df, name, **options):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return settle(df, name, **options)
+
+    monkeypatch.setattr(minhash, "settled", watched)
+    path = str(tmp_path / "docs")
+    spark.range(300).selectExpr("id AS doc_id", "concat_ws(' ', 'some', 'words', 'of', 'text', id % 50) AS text").write.parquet(path)
+    assert minhash.near_duplicates(spark.read.parquet(path)).count() == 300
+    for name in ("shingle-sets", "shared-signatures", "long-signatures"):
+        assert "Join" not in plans[name] and "Aggregate" not in plans[name]
+
+
 def test_op4(spark, sf_dir):
     start, want = 0, []
     for d, t in sorted(texts(spark, sf_dir)):

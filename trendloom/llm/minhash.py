@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from trendloom.llm.frames import arrow_map, carried, column, portions, settled
 
@@ -31,6 +32,8 @@ HUBS = 2
 LONG, BLOCK = 1024, 2 << 20
 #: Members that are compared with one copy of their hub's set.
 SPREAD = 2000
+#: Bits for each document that may have a link, in a filter of at most 32 MB.
+FILTER_BITS, MOST_BITS = 16, 1 << 28
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -90,13 +93,43 @@ def _signed(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
         yield key, len(ids), xxhash.xxh128_digest(packed), signature.astype(np.uint8).tobytes(), bands
 
 
-def _sets(rows: Iterator[tuple], size: int) -> Iterable[tuple]:
-    for key, text in rows:
+def _marks(mark: Column, bits: int) -> list[Column]:
+    """The two bits that the hash of a key sets among so many, a power of two."""
+    return [mark.bitwiseAND(F.lit(bits - 1)), F.shiftright(mark, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def possible(keys: DataFrame) -> bytes:
+    """A filter that every ``key`` of this written table passes, and few others: two bits a key, ``MOST_BITS`` in all at most.
+
+    It comes to the driver in pieces of 4 KB and goes to the tasks. Beyond its greatest size more and more others pass.
+    """
+    distinct = keys.agg(F.approx_count_distinct("key")).first()[0]
+    bits = min(MOST_BITS, max(1 << 15, 1 << (FILTER_BITS * distinct).bit_length()))
+    # The functions of Spark count places from 1.
+    place = keys.select(F.explode(F.array(*[1 + m for m in _marks(F.xxhash64("key"), bits)])).alias("place"))
+    pieces = place.groupBy(F.bitmap_bucket_number("place").alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap"))
+    found = bytearray(bits // 8)
+    for row in pieces.toLocalIterator():
+        found[4096 * (row["piece"] - 1) : 4096 * row["piece"]] = row["bitmap"]
+    return bytes(found)
+
+
+def _passing(rows: Iterator[tuple], bitmap: bytes) -> Iterable[tuple]:
+    """What follows the ``mark`` of rows that pass the filter."""
+    last = 8 * len(bitmap) - 1
+    for mark, *row in rows:
+        x, y = mark & last, mark >> 32 & last
+        if bitmap[x >> 3] >> (x & 7) & bitmap[y >> 3] >> (y & 7) & 1:
+            yield tuple(row)
+
+
+def _sets(rows: Iterator[tuple], size: int, bitmap: bytes) -> Iterable[tuple]:
+    for key, text in _passing(rows, bitmap):
         yield key, shingles(text, size).astype("<u8").tobytes()
 
 
-def _lengthened(rows: Iterator[tuple]) -> Iterable[tuple]:
-    for key, ids in rows:
+def _lengthened(rows: Iterator[tuple], bitmap: bytes) -> Iterable[tuple]:
+    for key, ids in _passing(rows, bitmap):
         yield key, ids, minima(np.frombuffer(ids, "<u8"), LONG).astype(np.uint8).tobytes()
 
 
@@ -262,21 +295,21 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     # Classes of equal sets.
     classes = single.where("n > 0").groupBy("n", "digest").agg(F.min("key").alias("class"))
     classes = settled(classes, "classes")
-    first = single.select("key", "n", "bands").join(classes.select(F.col("class").alias("key")), "key", "left_semi")
+    first = single.where("n > 0").groupBy("n", "digest").agg(F.min(F.struct("key", "bands")).alias("least")).select("least.key", "n", "least.bands")
 
-    # Buckets of two classes or more. The exchange by bucket is made once and serves the counting and the join.
+    # Buckets of two classes or more. A window counts them, so that one exchange by bucket is all.
     buckets = first.select("key", "n", F.explode("bands").alias("bucket"))
-    buckets = buckets.repartition("bucket")
-    counted = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = settled(buckets.join(counted, "bucket").select("key", "n", "bucket", "members"), "shared")
-    sharing = known.join(shared.select("key").distinct(), "key", "left_semi").select("key", "text")
-    sets = settled(arrow_map(sharing, _sets, "key long, ids binary", size), "shingle-sets", compression="zstd")
+    counted = buckets.withColumn("members", F.count(F.lit(1)).over(W.partitionBy("bucket")))
+    shared = settled(counted.where("members > 1").select("key", "n", "bucket", "members"), "shared")
+    # Texts are not shuffled to find those that are in a bucket; the few others that pass meet no member.
+    mark, sharing = F.xxhash64("key").alias("mark"), possible(shared)
+    sets = settled(arrow_map(known.select(mark, "key", "text"), _sets, "key long, ids binary", size, sharing), "shingle-sets", compression="zstd")
 
     # In each bucket one member after the other is paired with those still in other components: first the member that meets
     # the most others, which in a group of edited copies is the one they were made from.
     weight = shared.groupBy("key").agg(F.sum("members").alias("met"))
     members = settled(shared.join(weight, "key").select("key", "n", "bucket", F.struct("met", (-F.col("key")).alias("less")).alias("turn")), "members")
-    signatures = single.select("key", "signature").join(sets.select("key"), "key", "left_semi")
+    signatures = settled(arrow_map(single.select(mark, "key", "signature"), _passing, "key long, signature binary", sharing), "shared-signatures")
     links = parts = None
     for _ in range(HUBS):
         hubs = members.groupBy("bucket").agg(F.max(F.struct("turn", "key", "n", "component") if parts is not None else F.struct("turn", "key", "n")).alias("hub"))
@@ -294,8 +327,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         members = settled(rest.join(open_, "bucket", "left_semi"), "members")
 
     # What is left meets in blocks.
-    long = sets.join(members.select("key").distinct(), "key", "left_semi")
-    long = settled(arrow_map(long, _lengthened, "key long, ids binary, signature binary"), "long-signatures", compression="zstd")
+    long = arrow_map(sets.select(mark, "key", "ids"), _lengthened, "key long, ids binary, signature binary", possible(members))
+    long = settled(long, "long-signatures", compression="zstd")
     more = settled(joining(members, long, percent), "links")
     if more.limit(1).count():
         parts = settled(components(links.union(more)), "parts")
