@@ -252,6 +252,73 @@ def test_op5_prunes_exactly():
         assert got[int(ids[i])] == [(int(ids[j]), int(scores[j])) for j in order]
 
 
+def test_op5_grid_moves_blocks_only(spark, monkeypatch):
+    for name, value in (("CANDIDATES", 32), ("QUERIES", 8), ("HELD", 100 * 6), ("CELLS", 3)):
+        monkeypatch.setattr(topk, name, value, raising=False)
+    rng = random.Random(7)
+    vectors = {i: tuple(rng.randint(-3, 3) for _ in range(rng.choice((0, 3, 6)))) if i % 3 else (1, -2, 3) for i in rng.sample(range(-500, 2000), 400)}
+    df = spark.createDataFrame([(i, [x / 64 for x in v]) for i, v in vectors.items()], "vec_id long, embedding array<float>").repartition(3)
+    found = topk.top_k(df, "vec_id % 5 = 0", k=7)
+    want = []
+    for q in (i for i in vectors if i % 5 == 0):
+        scores = sorted((-sum(a * b for a, b in zip(vectors[q], v)), i) for i, v in vectors.items() if i != q)[:7]
+        want += [(q, n, i, -s) for n, (s, i) in enumerate(scores, 1)]
+    assert sorted(rows_of(found)) == sorted(want)
+    # Copies of query blocks, one for each block they meet, look as small to Spark as the blocks and went to the driver for a broadcast.
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_op5_grid():
+    assert topk._grid((0, 0), (0, 0), 1, 20, 24) == (1, 1)
+    down, across = topk._grid((15_000_000, 1900), (750_000, 733), 64, 20, 48)
+    assert down * topk.HELD >= 15_000_000 * 64 and down * across >= 48
+    down, across = topk._grid((20_000, 3), (1000, 1), 64, 20, 48)
+    assert (down, across) == (3, 1)
+
+
+@pytest.mark.parametrize(("largest", "kind"), [(1, "f4"), (60, "f4"), (1 << 20, "f8"), (1 << 26, "i8"), (1 << 31, "O")])
+def test_op5_best_of_several_blocks(largest, kind):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    block = rng.integers(-largest, largest + 1, (40, 450))
+    block[20:] //= 1 + largest // 3
+    block[0, 0] = block[0, 200] = block[0, 400] = largest
+    ids = rng.permutation(900)[:450] - 300
+    blocks = [topk.Candidates(ids[i : i + 150], block[:, i : i + 150]) for i in (0, 150, 300)]
+    queries, asked = block[:33, :200], ids[:200]  # more than a tile; shorter than the candidates
+    assert topk._kind(queries, blocks[0]) == np.dtype(kind)
+    got = [r for found in topk.best_of_blocks(asked, queries, blocks, 9) for r in zip(*(x.tolist() for x in found))]
+    want = []
+    for i, q in enumerate(asked.tolist()):
+        scores = (queries[:, i].astype(object) @ block[:33].astype(object)).tolist()
+        want += [(q, v, -s) for s, v in sorted((-s, v) for s, v in zip(scores, ids.tolist()) if v != q)[:9]]
+    assert got == want
+
+
+def test_op5_blocks():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(2)
+    for sizes, most in (((5, 12, 1), 4), ((3, 0, 3), 8192), ((), 3)):
+        rows = [(i, [rng.randint(-200, 200) * (1 << 40 if i == 7 else 1) for _ in range(rng.choice((0, 2, 5)))]) for i in range(sum(sizes))]
+        table, at, batches = pa.table({"vec_id": pa.array([i for i, _ in rows], pa.int64()), "q": pa.array([q for _, q in rows], pa.list_(pa.int64()))}).combine_chunks(), 0, []
+        for n in sizes:
+            batches += table.slice(at, n).to_batches()
+            at += n
+        got = []
+        for batch in topk._packed(iter(batches), most):
+            (row,) = batch.to_pylist()
+            ids, block = topk._opened(row["ids"], row["block"], row["width"])
+            assert row["first"] == ids[0] and len(ids) <= most and block.shape == (row["width"], len(ids))
+            got += zip(ids.tolist(), block.T.tolist())
+        assert [i for i, _ in got] == [i for i, _ in rows]
+        assert all(b[: len(q)] == q and not any(b[len(q) :]) for (_, b), (_, q) in zip(got, rows))
+    wide = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([np.ones(topk.COMPONENTS, "i8")] * 2)], ["vec_id", "q"])
+    assert [len(b.column(2)[0].as_py()) for b in topk._packed(iter([wide]), 8192)] == [topk.COMPONENTS] * 2  # one row each, a byte a component
+
+
 def test_op6(spark, sf_dir):
     got = rows_of(QUERIES["op6_sharding"](spark, sf_dir))
     assert len(got) == source(spark, sf_dir).count()
